@@ -19,11 +19,11 @@ from ampledger.schema import SENSOR_COLS, SEQ_LEN
 
 # Five settings per layer, in the order they are tried.
 SEQUENCE_CONFIGS = [
-    {"regParam": 0.0, "maxIter": 30},
-    {"regParam": 0.001, "maxIter": 30},
-    {"regParam": 0.01, "maxIter": 30},
-    {"regParam": 0.01, "maxIter": 60},
-    {"regParam": 0.1, "maxIter": 60},
+    {"regParam": 0.0, "maxIter": 10},
+    {"regParam": 0.001, "maxIter": 10},
+    {"regParam": 0.01, "maxIter": 10},
+    {"regParam": 0.01, "maxIter": 20},
+    {"regParam": 0.1, "maxIter": 20},
 ]
 SHAPE_CONFIGS = [
     {"maxDepth": 2, "maxIter": 5, "stepSize": 0.3},

@@ -201,7 +201,8 @@ def scan_parquet(spark, sf):
 def scan_csv(spark, sf):
     path = scratch_path(spark, "csv")
     names = [f.name for f in TELEMETRY_SCHEMA.fields]
-    telemetry(spark, sf).select(*names).write.option("header", True).csv(path)
+    rows = telemetry(spark, sf).withColumn("event_ts", _ts_text())
+    rows.select(*names).write.option("header", True).csv(path)
     return _all_columns(R.read_csv(spark, path))
 
 
@@ -883,19 +884,19 @@ s2 as (select *, {d2} from s1 window v as ({by})),
 s3 as (select event_id, vehicle_id, pos, injected_anomaly, {stats} from s2
   window w as ({by} rows between 29 preceding and current row), w1 as ({by} rows between 28 preceding and current row),
     w2 as ({by} rows between 27 preceding and current row))
-select vehicle_id, pos - 30 as position, injected_anomaly as label, {_sql_rounded(W.shape_columns(), 4)} from s3 where pos >= 30"""
+select vehicle_id, pos - 30 as position, injected_anomaly as label, {_sql_rounded(W.shape_columns(), 5)} from s3 where pos >= 30"""
 
 
 @query("shape_features", _shape_sql())
 def shape_features(spark, sf):
     rows = W.shape_features(telemetry(spark, sf))
-    return rows.select("vehicle_id", "position", "label", *_rounded(W.shape_columns(), 4))
+    return rows.select("vehicle_id", "position", "label", *_rounded(W.shape_columns(), 5))
 
 
 @query("shape_features_sliced", _shape_sql())
 def shape_features_sliced(spark, sf):
     rows = W.shape_features(telemetry(spark, sf), **HOT_TEST)
-    return rows.select("vehicle_id", "position", "label", *_rounded(W.shape_columns(), 4))
+    return rows.select("vehicle_id", "position", "label", *_rounded(W.shape_columns(), 5))
 
 
 # Statistics, layers, drift
@@ -1118,8 +1119,8 @@ def sink_csv_report(spark, sf):
 
 
 def _event_stream(spark, sf):
-    """The events file, or folder of files, as a stream."""
-    return from_events(spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf}/events.parquet"))
+    """The events file, or folder of files, as a stream; the pattern lets it be either."""
+    return from_events(spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf}/events.parquet*"))
 
 
 @query(

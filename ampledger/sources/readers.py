@@ -15,8 +15,14 @@ def read_telemetry(spark: SparkSession, path: str, schema: T.StructType = TELEME
     return spark.read.schema(schema).parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = TELEMETRY_SCHEMA) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = TELEMETRY_SCHEMA,
+    timestamp_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+) -> DataFrame:
+    reader = spark.read.option("header", True).option("timestampFormat", timestamp_format)
+    return reader.schema(schema).csv(path)
 
 
 def read_object_store(
