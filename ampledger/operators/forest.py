@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -11,48 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ampledger.functions.isolation import expected_path, grow_tree, path_lengths
 from ampledger.operators.ordering import GATHER_ROWS, exact_quantile, row_hash
 from ampledger.operators.scaling import Scaler
 from ampledger.schema import CONTAMINATION, SENSOR_COLS
 from ampledger.sources.sinks import stage
 
-_NODE_SCHEMA = "tree int, node int, feature int, split double, left int, right int, path double"
-
-
-def expected_path(n: np.ndarray | float) -> np.ndarray:
-    """Mean path length of an unsuccessful search among n points: 2 H(n-1) - 2 (n-1)/n."""
-    n = np.asarray(n, dtype=float)
-    harmonic = np.log(np.maximum(n - 1, 1)) + np.euler_gamma
-    return np.where(n > 2, 2 * harmonic - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
-
-
-def grow_tree(points: np.ndarray, tree: int, seed: int) -> pd.DataFrame:
-    """Nodes of one isolation tree over at most a few hundred points."""
-    rng = np.random.default_rng([seed, tree])
-    limit = int(np.ceil(np.log2(max(len(points), 2))))
-    nodes: list[list] = []
-    todo = [(np.arange(len(points)), 0, -1, 0)]
-    while todo:
-        rows, depth, parent, side = todo.pop()
-        number = len(nodes)
-        if parent >= 0:
-            nodes[parent][3 + side] = number
-        sample = points[rows]
-        low, high = (sample.min(axis=0), sample.max(axis=0)) if len(rows) else (np.zeros(1), np.zeros(1))
-        usable = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or len(usable) == 0:
-            path = depth + float(expected_path(len(rows)))
-            nodes.append([number, 0, 0.0, number, number, path])
-            continue
-        feature = int(rng.choice(usable))
-        split = float(rng.uniform(low[feature], high[feature]))
-        goes_left = sample[:, feature] < split
-        nodes.append([number, feature, split, -1, -1, float("nan")])
-        todo.append((rows[~goes_left], depth + 1, number, 1))
-        todo.append((rows[goes_left], depth + 1, number, 0))
-    frame = pd.DataFrame(nodes, columns=["node", "feature", "split", "left", "right", "path"])
-    frame.insert(0, "tree", tree)
-    return frame
+_NODE_SCHEMA = "tree int, node int, feature int, split double, path double"
 
 
 @dataclass(frozen=True)
@@ -60,11 +25,7 @@ class IsolationForestModel:
     """Node arrays of shape (trees, nodes); at most trees * 2 * subsample entries."""
 
     cols: tuple[str, ...]
-    feature: np.ndarray
-    split: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    path: np.ndarray
+    nodes: dict[str, np.ndarray]
     depth: int
     norm: float
     offset: float | None = None
@@ -74,29 +35,27 @@ class IsolationForestModel:
 
         With a scaler the model sees scaled sensors and the frame keeps its own.
         """
-        model = self
+        nodes, depth, norm = self.nodes, self.depth, self.norm
 
         @F.pandas_udf("double")
         def anomaly_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for columns in batches:
                 points = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-                total = np.zeros(len(points))
-                rows = np.arange(len(points))
-                for t in range(len(model.feature)):
-                    node = np.zeros(len(points), dtype=np.int32)
-                    for _ in range(model.depth):
-                        goes_left = points[rows, model.feature[t][node]] < model.split[t][node]
-                        node = np.where(goes_left, model.left[t][node], model.right[t][node])
-                    total += model.path[t][node]
-                yield pd.Series(np.exp2(-total / len(model.feature) / model.norm))
+                yield pd.Series(np.exp2(-path_lengths(points, nodes, depth) / norm))
 
         inputs = scaler.columns() if scaler else {c: F.col(c) for c in self.cols}
         return df.withColumn("anomaly_score", anomaly_score(*[inputs[c] for c in self.cols]))
 
     def transform(self, df: DataFrame, scaler: Scaler | None = None) -> DataFrame:
         """Add anomaly_score and l1_iso_flag: 1 strictly above the fitted threshold."""
-        flag = F.when(-F.col("anomaly_score") < F.lit(self.offset), 1).otherwise(0)
-        return self.score(df, scaler).withColumn("l1_iso_flag", flag)
+        if self.offset is None:
+            raise ValueError("the model has no threshold; fit it with one or use fit_transform")
+        return flag_scores(self.score(df, scaler), self.offset)
+
+
+def flag_scores(scored: DataFrame, offset: float | None) -> DataFrame:
+    hit = -F.col("anomaly_score") < F.lit(offset).cast("double")
+    return scored.withColumn("l1_iso_flag", F.when(hit, 1).otherwise(0))
 
 
 def _subsamples(df: DataFrame, cols: list[str], keys: list[str], trees: int, size: int, seed: int, n: int) -> DataFrame:
@@ -127,10 +86,10 @@ def fit_isolation_forest(
     keys: list[str] | None = None,
     trees: int = 100,
     subsample: int = 256,
-    contamination: float = CONTAMINATION,
+    contamination: float | None = CONTAMINATION,
     seed: int = 42,
 ) -> IsolationForestModel:
-    """Grow the trees in parallel, then set the threshold at the contamination quantile."""
+    """Grow the trees in parallel, then set the threshold at the contamination quantile (None: no threshold)."""
     keys = keys or ["event_id"]
     n = df.count()
     if n == 0:
@@ -142,30 +101,41 @@ def fit_isolation_forest(
         pdf = pdf.sort_values(["h", *cols])
         return grow_tree(pdf[cols].to_numpy(dtype=float), int(pdf["tree"].iloc[0]), seed)
 
-    nodes = sample.groupBy("tree").applyInPandas(grow, _NODE_SCHEMA).toPandas()
-    nodes = nodes.sort_values(["tree", "node"])
-    shape = (int(nodes["tree"].max()) + 1, int(nodes["node"].max()) + 1)
+    # A fixed partition count: adaptive execution would join the small groups into one task.
+    spread = min(trees, df.sparkSession.sparkContext.defaultParallelism)
+    grown = sample.repartition(spread, "tree").groupBy("tree").applyInPandas(grow, _NODE_SCHEMA).toPandas()
+    shape = (trees, int(grown["node"].max()) + 1)
 
     def table(name: str, dtype) -> np.ndarray:
         out = np.zeros(shape, dtype=dtype)
-        out[nodes["tree"].to_numpy(), nodes["node"].to_numpy()] = nodes[name].to_numpy()
+        out[grown["tree"].to_numpy(), grown["node"].to_numpy()] = grown[name].to_numpy()
         return out
 
+    kinds = {"feature": np.int32, "split": float, "path": float}
     model = IsolationForestModel(
         cols=tuple(cols),
-        feature=table("feature", np.int32),
-        split=table("split", float),
-        left=table("left", np.int32),
-        right=table("right", np.int32),
-        path=table("path", float),
+        nodes={name: table(name, dtype) for name, dtype in kinds.items()},
         depth=int(np.ceil(np.log2(max(size, 2)))),
-        norm=max(float(expected_path(size)), 1e-9),
+        norm=expected_path(size) or 1.0,
     )
+    if contamination is None:
+        return model
     scores = model.score(df).select((-F.col("anomaly_score")).alias("score"))
     # A large table is ordered in several passes; they read stored scores, not the model.
     scores = stage(scores, "parquet" if n > GATHER_ROWS else "none")
-    offset = exact_quantile(scores, "score", contamination)
-    return IsolationForestModel(**{**model.__dict__, "offset": offset})
+    return replace(model, offset=exact_quantile(scores, "score", contamination))
+
+
+def fit_transform(
+    df: DataFrame, scaler: Scaler, contamination: float = CONTAMINATION, keys: list[str] | None = None, **forest_args
+) -> DataFrame:
+    """Grow the forest on scaled sensors, score every row once, store that, and flag from the stored scores.
+
+    Returns the stored table with anomaly_score and l1_iso_flag.
+    """
+    model = fit_isolation_forest(scaler.transform(df), keys=keys, contamination=None, **forest_args)
+    scored = stage(model.score(df, scaler), "parquet")
+    return flag_scores(scored, exact_quantile(scored, -F.col("anomaly_score"), contamination))
 
 
 def contamination_threshold(

@@ -74,11 +74,11 @@ def exact_quantile(df: DataFrame, col: str | Column, q: float, gather_rows: int
     """
     c = F.col(col) if isinstance(col, str) else col
     values = df.select(c.cast("double").alias("v")).filter(F.col("v").isNotNull())
+    if df.count() <= gather_rows:
+        return values.agg(F.percentile("v", q)).first()[0]
     n = values.count()
     if n == 0:
         return None
-    if n <= gather_rows:
-        return values.agg(F.percentile("v", q)).first()[0]
     position = (n - 1) * q
     rank = int(position)
     low = _kth(values, rank, n, gather_rows)

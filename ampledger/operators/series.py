@@ -21,6 +21,8 @@ HOT_ROWS = 4_000_000
 SLICE_ROWS = 1_000_000
 # Hour, minute, second, millisecond, microsecond.
 SLICE_WIDTHS = [3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
+BROADCAST_ROWS = 100_000
+WHOLE = "series"
 _FIRST = -(2**63)
 _SLICE, _START, _HALO, _LENGTH = "_slice", "_start", "_halo", "_length"
 
@@ -56,13 +58,22 @@ class Series:
         return F.col(_LENGTH)
 
 
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a side whose row count was measured; a larger one is left to adaptive joins."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def hot_series(df: DataFrame, by: str, hot_rows: int) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows and their counts; None when there are none."""
     counts = df.groupBy(F.col(by).alias("_key")).agg(F.count(F.lit(1)).alias(_LENGTH))
-    largest = counts.agg(F.max(_LENGTH)).first()[0]
-    if largest is None or largest <= hot_rows:
-        return None
-    return counts.filter(F.col(_LENGTH) > hot_rows)
+    hot = counts.filter(F.col(_LENGTH) > hot_rows)
+    n_hot = hot.count()
+    return small_side(hot, n_hot) if n_hot else None
+
+
+def _series_key(df: DataFrame, by: str | None) -> tuple[DataFrame, str]:
+    """``by=None`` makes the whole table one series, numbered 0 in the column ``series``."""
+    return (df.withColumn(WHOLE, F.lit(0)), WHOLE) if by is None else (df, by)
 
 
 def over_series(
@@ -76,18 +87,26 @@ def over_series(
 ) -> DataFrame:
     """Apply ``compute(frame, series)``, whose frames reach at most ``lookback`` rows back.
 
-    ``compute`` must keep every row, so that the borrowed rows of a slice can be
-    dropped afterwards, or drop them by ``series.position()`` alone.
+    ``compute`` keeps the frame's ``_halo`` column where there is one: it marks
+    the borrowed rows, which are dropped afterwards.
     """
     order = order or ORDER_COLS
+
+    def over_slices(rows: DataFrame) -> DataFrame:
+        sliced = slice_rows_of(rows, by, order, lookback, slice_rows)
+        done = compute(sliced, Series([by, _SLICE], order, sliced=True)).filter(~F.col(_HALO))
+        return done.drop(_SLICE, _START, _HALO, _LENGTH)
+
+    plain = Series([by], order, sliced=False)
+    if by == WHOLE:
+        n = df.count()
+        return compute(df, plain) if n <= hot_rows else over_slices(df.withColumn(_LENGTH, F.lit(n).cast("bigint")))
     hot = hot_series(df, by, hot_rows)
     if hot is None:
-        return compute(df, Series([by], order, sliced=False))
+        return compute(df, plain)
     same_key = F.col(by).eqNullSafe(F.col("_key"))
-    cold = compute(df.join(hot, same_key, "left_anti"), Series([by], order, sliced=False))
-    sliced = slice_rows_of(df.join(hot, same_key, "inner").drop("_key"), by, order, lookback, slice_rows)
-    done = compute(sliced, Series([by, _SLICE], order, sliced=True)).filter(~F.col(_HALO))
-    return cold.unionByName(done.select(*cold.columns))
+    cold = compute(df.join(hot, same_key, "left_anti"), plain)
+    return cold.unionByName(over_slices(df.join(hot, same_key, "inner").drop("_key")))
 
 
 def slice_rows_of(df: DataFrame, by: str, order: list[str], lookback: int, slice_rows: int) -> DataFrame:
@@ -106,12 +125,15 @@ def slice_rows_of(df: DataFrame, by: str, order: list[str], lookback: int, slice
     keys = ["_k0"]
     df = df.withColumn("_k0", levels[0])
     counts = _bucket_counts(df, by, keys)
+    too_many = F.col("_n") > slice_rows
     for level in levels[1:]:
-        if counts.agg(F.max("_n")).first()[0] <= slice_rows:
+        n_dense = counts.filter(too_many).count()
+        if n_dense == 0:
             break
-        dense = counts.filter(F.col("_n") > slice_rows).select(
+        dense = counts.filter(too_many).select(
             F.col(by).alias("_by"), *[F.col(k).alias(f"_d{k}") for k in keys], F.lit(True).alias("_dense")
         )
+        dense = small_side(dense, n_dense)
         name = f"_k{len(keys)}"
         df = (
             df.join(dense, _same(by, keys, "_by", "_d"), "left")
@@ -139,6 +161,7 @@ def slice_rows_of(df: DataFrame, by: str, order: list[str], lookback: int, slice
     buckets = buckets.select(
         F.col(by).alias("_by"), *[F.col(k).alias(f"_d{k}") for k in keys], _SLICE, _START, "_lend"
     )
+    buckets = small_side(buckets, counts.count())
     copies = F.concat(
         F.array(F.struct(F.col(_SLICE).alias("s"), F.lit(False).alias("h"))),
         F.transform("_lend", lambda s: F.struct(s.alias("s"), F.lit(True).alias("h"))),
@@ -167,7 +190,7 @@ def _same(by: str, keys: list[str], other_by: str, prefix: str) -> Column:
 
 
 def add_rolling(df: DataFrame, rows: int = ROLLING_ROWS, **series_args) -> DataFrame:
-    """Rolling averages and deviation over the last ``rows`` rows of each vehicle."""
+    """Rolling averages and deviation over the last ``rows`` rows of each vehicle, fewer at its start."""
 
     def compute(frame: DataFrame, series: Series) -> DataFrame:
         w = series.rows(-(rows - 1), 0)
@@ -222,7 +245,7 @@ def _windows(
     label: str | None,
     seq_len: int,
     horizon: int,
-    by: str,
+    by: str | None,
     split: str | None,
     train: float,
     extra: Callable[[Series], dict[str, Column]],
@@ -230,6 +253,8 @@ def _windows(
     partial: bool = False,
     **series_args,
 ) -> DataFrame:
+    df, by = _series_key(df, by)
+
     def compute(frame: DataFrame, series: Series) -> DataFrame:
         columns = {"_pos": series.position(), **extra(series)}
         if split:
@@ -251,7 +276,7 @@ def make_sequences(
     df: DataFrame,
     seq_len: int = SEQ_LEN,
     horizon: int = 1,
-    by: str = "vehicle_id",
+    by: str | None = "vehicle_id",
     label: str | None = "injected_anomaly",
     cols: list[str] = SENSOR_COLS,
     split: str | None = None,
@@ -262,7 +287,7 @@ def make_sequences(
 ) -> DataFrame:
     """Every full window of ``seq_len`` rows with the label ``horizon`` rows after its last row.
 
-    ``position`` counts windows from 0. ``split="rows"`` divides each series
+    ``position`` counts windows from 0; ``by=None`` makes the table one series. ``split="rows"`` divides each series
     first and forms windows on either side; ``split="sequences"`` divides the windows.
     ``partial`` keeps the rows without a full window, at negative positions.
     """
@@ -280,7 +305,7 @@ def sequence_labels(
     df: DataFrame,
     seq_len: int = SEQ_LEN,
     horizon: int = 1,
-    by: str = "vehicle_id",
+    by: str | None = "vehicle_id",
     label: str = "injected_anomaly",
     split: str | None = None,
     train: float = 0.8,
@@ -303,7 +328,7 @@ def shape_columns(cols: list[str] = SENSOR_COLS) -> list[str]:
 def shape_features(
     df: DataFrame,
     seq_len: int = SEQ_LEN,
-    by: str = "vehicle_id",
+    by: str | None = "vehicle_id",
     label: str | None = "injected_anomaly",
     cols: list[str] = SENSOR_COLS,
     split: str | None = None,
@@ -318,6 +343,8 @@ def shape_features(
     roughness (mean absolute first and second differences inside the window).
     """
 
+    df, by = _series_key(df, by)
+
     def compute(frame: DataFrame, series: Series) -> DataFrame:
         steps = {f"_d1_{c}": F.col(c) - series.lag(c) for c in cols}
         frame = frame.withColumns({"_pos": series.position(), "_x": series.index(), **steps})

@@ -21,7 +21,7 @@ from ampledger.operators import series as W
 from ampledger.operators import validate as V
 from ampledger.operators.augment import inject_faults
 from ampledger.operators.drift import drifted_column_count, ks_drift, ks_two_sample
-from ampledger.operators.forest import contamination_threshold, fit_isolation_forest
+from ampledger.operators.forest import contamination_threshold, fit_transform
 from ampledger.operators.ordering import first_rows
 from ampledger.operators.scaling import fit_scaler, scale_sensors, scaler_stats
 from ampledger.plans.jobs import process, run_daily, run_drift, run_fleet_job
@@ -821,6 +821,16 @@ def sequence_labels(spark, sf):
     return W.sequence_labels(telemetry(spark, sf))
 
 
+@query(
+    "sequence_labels_one_series",
+    """, g as (select *, row_number() over (order by event_ts, event_id) as gpos from derived)
+       select cast(0 as int) as series, gpos - 31 as position, injected_anomaly as label from g where gpos > 30""",
+)
+def sequence_labels_one_series(spark, sf):
+    """The whole table as one series, cut into slices."""
+    return W.sequence_labels(telemetry(spark, sf), by=None, hot_rows=500, slice_rows=200)
+
+
 _CUT = "cast(floor(n * cast(0.8 as double)) as bigint)"
 
 
@@ -937,9 +947,7 @@ def scale_on_train(spark, sf):
 @query("isolation_forest")
 def isolation_forest(spark, sf):
     rows = X.fill_null_sensors(telemetry(spark, sf))
-    fitted = fit_scaler(rows)
-    forest = fit_isolation_forest(fitted.transform(rows))
-    scored = forest.transform(rows, fitted)
+    scored = fit_transform(rows, fit_scaler(rows))
     return scored.select("event_id", F.round("anomaly_score", 6).alias("anomaly_score"), "l1_iso_flag")
 
 

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from ampledger.operators import kpis as K
 from ampledger.operators.drift import drifted_column_count, ks_drift
 from ampledger.operators.features import cast_telemetry, derive, fill_null_sensors
-from ampledger.operators.forest import fit_isolation_forest
+from ampledger.operators.forest import fit_transform
 from ampledger.operators.layers import LayerModel, ensemble_vote
 from ampledger.operators.metrics import log_runs, run_row
 from ampledger.operators.scaling import fit_scaler
 from ampledger.operators.series import add_rolling
 from ampledger.operators.validate import null_audit, range_audit, validate_schema
 from ampledger.schema import CONTAMINATION, DRIFT_COLS, SENSOR_COLS
-from ampledger.sources.sinks import stage, write_anomalies, write_kpis, write_lake, write_report_csv
+from ampledger.sources.sinks import write_anomalies, write_kpis, write_lake, write_report_csv
 
 
 def process(df: DataFrame, **series_args) -> DataFrame:
@@ -83,15 +83,13 @@ def run_daily(
     validate_schema(df)
     nulls, ranges = null_audit(df, SENSOR_COLS), range_audit(df)
     filled = fill_null_sensors(df)
-    scaler = fit_scaler(filled)
-    forest = fit_isolation_forest(scaler.transform(filled), keys=keys)
     scored = filled
     for model, flag in ((sequence_model, "l2_seq_flag"), (shape_model, "l3_shape_flag")):
         scored = scored.withColumn(flag, F.lit(0)) if model is None else model.flag(scored, **series_args)
-    scored = forest.transform(scored, scaler)
+    scored = fit_transform(scored, fit_scaler(filled), keys=keys)
     if min_votes is None:
         min_votes = 1 if sequence_model is None and shape_model is None else 2
-    scored = stage(ensemble_vote(scored, min_votes=min_votes), "parquet")
+    scored = ensemble_vote(scored, min_votes=min_votes)
     summary = K.run_summary(scored)
     anomalies_path, runs_path = f"{out}/anomalies", f"{out}/runs"
     write_anomalies(scored, anomalies_path, run_date)
