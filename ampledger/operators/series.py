@@ -16,6 +16,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from ampledger.functions.scalars import sensor_vector
 from ampledger.schema import ORDER_COLS, ROLLING_ROWS, SENSOR_COLS, SEQ_LEN
+from ampledger.sources.sinks import stage
 
 HOT_ROWS = 4_000_000
 SLICE_ROWS = 1_000_000
@@ -58,17 +59,20 @@ class Series:
         return F.col(_LENGTH)
 
 
-def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a side whose row count was measured; a larger one is left to adaptive joins."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def small_side(df: DataFrame) -> DataFrame:
+    """Store a small table and broadcast it if its measured size allows; else adaptive joins decide.
+
+    Storing it also keeps the plans of later steps from repeating the steps behind it.
+    """
+    stored = stage(df, "parquet")
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
 def hot_series(df: DataFrame, by: str, hot_rows: int) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows and their counts; None when there are none."""
     counts = df.groupBy(F.col(by).alias("_key")).agg(F.count(F.lit(1)).alias(_LENGTH))
     hot = counts.filter(F.col(_LENGTH) > hot_rows)
-    n_hot = hot.count()
-    return small_side(hot, n_hot) if n_hot else None
+    return None if hot.isEmpty() else small_side(hot)
 
 
 def _series_key(df: DataFrame, by: str | None) -> tuple[DataFrame, str]:
@@ -127,13 +131,12 @@ def slice_rows_of(df: DataFrame, by: str, order: list[str], lookback: int, slice
     counts = _bucket_counts(df, by, keys)
     too_many = F.col("_n") > slice_rows
     for level in levels[1:]:
-        n_dense = counts.filter(too_many).count()
-        if n_dense == 0:
-            break
         dense = counts.filter(too_many).select(
             F.col(by).alias("_by"), *[F.col(k).alias(f"_d{k}") for k in keys], F.lit(True).alias("_dense")
         )
-        dense = small_side(dense, n_dense)
+        dense = small_side(dense)
+        if dense.isEmpty():
+            break
         name = f"_k{len(keys)}"
         df = (
             df.join(dense, _same(by, keys, "_by", "_d"), "left")
@@ -161,7 +164,7 @@ def slice_rows_of(df: DataFrame, by: str, order: list[str], lookback: int, slice
     buckets = buckets.select(
         F.col(by).alias("_by"), *[F.col(k).alias(f"_d{k}") for k in keys], _SLICE, _START, "_lend"
     )
-    buckets = small_side(buckets, counts.count())
+    buckets = small_side(buckets)
     copies = F.concat(
         F.array(F.struct(F.col(_SLICE).alias("s"), F.lit(False).alias("h"))),
         F.transform("_lend", lambda s: F.struct(s.alias("s"), F.lit(True).alias("h"))),
