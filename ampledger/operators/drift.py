@@ -91,7 +91,7 @@ def ks_p_value(d: Column, n_ref: Column, n_cur: Column) -> Column:
     series = F.lit(2.0) * F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
     clamped = F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))
     # Below 0.2 the series converges too slowly; the p-value is 1 to many digits.
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(clamped)
+    return F.when(lam < 0.2, F.lit(1.0)).when(lam.isNotNull(), clamped)
 
 
 def ks_drift(ref: DataFrame, cur: DataFrame, cols: list[str] = DRIFT_COLS, alpha: float = 0.05, **ks_args) -> DataFrame:
