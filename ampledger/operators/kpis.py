@@ -44,6 +44,14 @@ def pipeline_summary(df: DataFrame, flag: str = "rule_anomaly") -> DataFrame:
     ).withColumn("anomaly_pct", F.round(F.try_divide(F.col("anomalies"), F.col("total")) * 100, 2))
 
 
+def summary_of_regions(kpis: DataFrame) -> DataFrame:
+    """The same figures as ``pipeline_summary`` from the region KPIs, without another pass over the rows."""
+    return kpis.agg(
+        F.coalesce(F.sum("total_records"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("total_anomalies"), F.lit(0)).alias("anomalies"),
+    ).withColumn("anomaly_pct", F.round(F.try_divide(F.col("anomalies"), F.col("total")) * 100, 2))
+
+
 def run_summary(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
     hit = F.col(flag).cast("int")
     return df.agg(

@@ -26,11 +26,11 @@ SEQUENCE_CONFIGS = [
     {"regParam": 0.1, "maxIter": 20},
 ]
 SHAPE_CONFIGS = [
-    {"maxDepth": 2, "maxIter": 5, "stepSize": 0.3},
-    {"maxDepth": 3, "maxIter": 5, "stepSize": 0.3},
-    {"maxDepth": 3, "maxIter": 10, "stepSize": 0.1},
-    {"maxDepth": 4, "maxIter": 5, "stepSize": 0.3},
-    {"maxDepth": 4, "maxIter": 10, "stepSize": 0.1},
+    {"maxDepth": 2, "maxIter": 3, "stepSize": 0.3},
+    {"maxDepth": 3, "maxIter": 3, "stepSize": 0.3},
+    {"maxDepth": 3, "maxIter": 5, "stepSize": 0.1},
+    {"maxDepth": 4, "maxIter": 3, "stepSize": 0.3},
+    {"maxDepth": 4, "maxIter": 5, "stepSize": 0.1},
 ]
 
 

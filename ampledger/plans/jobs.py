@@ -50,7 +50,7 @@ def run_fleet_job(df: DataFrame, out: str, fmt: str = "auto", **series_args) ->
         fleet=spark.read.parquet(fleet_path),
         region=region,
         top=K.top_regions(region),
-        summary=K.pipeline_summary(lake),
+        summary=K.summary_of_regions(region),
     )
 
 
