@@ -35,6 +35,14 @@ def cast_telemetry(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
+def ensure_key(df: DataFrame, key: str = "event_id") -> DataFrame:
+    """Add a row key where the table has none: a hash of the row, the tie-breaker of equal timestamps.
+
+    Exact copies share it, and may then take each other's place.
+    """
+    return df if key in df.columns else df.withColumn(key, F.xxhash64(*df.columns))
+
+
 def add_power(df: DataFrame) -> DataFrame:
     return df.withColumn("power_kw", S.power_kw())
 

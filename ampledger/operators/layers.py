@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampledger.functions.scalars import argmax_class, class_weight, decision, sensor_vector, tile
@@ -36,6 +36,7 @@ SHAPE_CONFIGS = [
 
 FLAGS = {"sequence": "l2_seq_flag", "shape": "l3_shape_flag"}
 _SCALED = "_scaled_"
+_STATE_SCHEMA = "kind string, seq_len int, cols array<string>, means array<double>, stds array<double>"
 
 
 @dataclass(frozen=True)
@@ -55,6 +56,19 @@ class LayerModel:
             "rawPrediction", "probability"
         )
 
+    def save(self, path: str) -> None:
+        """Write the classifier and the scaler; an existing model at the path is replaced."""
+        self.model.write().overwrite().save(f"{path}/model")
+        state = [(self.kind, self.seq_len, list(self.scaler.cols), list(self.scaler.means), list(self.scaler.stds))]
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame(state, _STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/state")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> LayerModel:
+        state = spark.read.schema(_STATE_SCHEMA).parquet(f"{path}/state").first()
+        scaler = Scaler(tuple(state["cols"]), tuple(state["means"]), tuple(state["stds"]))
+        return LayerModel(state["kind"], scaler, PipelineModel.load(f"{path}/model"), state["seq_len"])
+
     def flag(self, df: DataFrame, **series_args) -> DataFrame:
         """Add the layer's flag to every row: 1 where the window ending there scores above 0.5.
 
@@ -115,7 +129,13 @@ def fit_layer(df: DataFrame, kind: str = "sequence", params: dict | None = None,
     configs = SEQUENCE_CONFIGS if kind == "sequence" else SHAPE_CONFIGS
     scaler = fit_scaler(df)
     table = training_table(df, kind, scaler, **args).select("features", "label", "weight")
-    return LayerModel(kind, scaler, _fit(kind, table, params or configs[1]), args.get("seq_len", SEQ_LEN))
+    if kind == "shape":
+        # Boosting reads its input in every round; logistic regression keeps blocks of its own.
+        table = table.persist()
+    try:
+        return LayerModel(kind, scaler, _fit(kind, table, params or configs[1]), args.get("seq_len", SEQ_LEN))
+    finally:
+        table.unpersist()
 
 
 def config_grid(df: DataFrame, kind: str = "sequence", configs: list[dict] | None = None, **args) -> DataFrame:

@@ -20,12 +20,12 @@ from ampledger.sources.sinks import stage
 
 HOT_ROWS = 4_000_000
 SLICE_ROWS = 1_000_000
-# Hour, minute, second, millisecond, microsecond.
-SLICE_WIDTHS = [3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
+MAX_PARTS = 256
 BROADCAST_ROWS = 100_000
 WHOLE = "series"
 _FIRST = -(2**63)
 _SLICE, _START, _HALO, _LENGTH = "_slice", "_start", "_halo", "_length"
+_TIME, _TIE = "_time", "_tie"
 
 
 class Series:
@@ -59,13 +59,14 @@ class Series:
         return F.col(_LENGTH)
 
 
-def small_side(df: DataFrame) -> DataFrame:
-    """Store a small table and broadcast it if its measured size allows; else adaptive joins decide.
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Store a small table and broadcast it if its counted rows allow; else adaptive joins decide.
 
     Storing it also keeps the plans of later steps from repeating the steps behind it.
     """
     stored = stage(df, "parquet")
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+    rows = stored.count() if rows is None else rows
+    return F.broadcast(stored) if rows <= BROADCAST_ROWS else stored
 
 
 def hot_series(df: DataFrame, by: str, hot_rows: int) -> DataFrame | None:
@@ -116,37 +117,42 @@ def over_series(
 def slice_rows_of(df: DataFrame, by: str, order: list[str], lookback: int, slice_rows: int) -> DataFrame:
     """Add slice number, rows before the slice, and the borrowed rows of each slice.
 
-    Time buckets that hold more than ``slice_rows`` rows are divided by ever
-    finer widths and at last by the tie-breaker, so a bucket is bounded as long
-    as the tie-breaker is unique.
+    Each series is divided into time buckets. Buckets of more than ``slice_rows``
+    rows are divided again, by time and then by the integer tie-breaker, into as
+    many parts as their size asks for. Rows equal in both stay together.
     """
     ts, tie = order
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    finer = [F.floor(micros / F.lit(w)).cast("bigint") for w in SLICE_WIDTHS]
-    finer.append(F.floor(F.col(tie) / F.lit(slice_rows)).cast("bigint"))
-    levels = [F.coalesce(level, F.lit(_FIRST)) for level in finer]
-
-    keys = ["_k0"]
-    df = df.withColumn("_k0", levels[0])
-    counts = _bucket_counts(df, by, keys)
-    too_many = F.col("_n") > slice_rows
-    for level in levels[1:]:
-        dense = counts.filter(too_many).select(
-            F.col(by).alias("_by"), *[F.col(k).alias(f"_d{k}") for k in keys], F.lit(True).alias("_dense")
-        )
-        dense = small_side(dense)
-        if dense.isEmpty():
+    df = df.withColumns(
+        {
+            _TIME: F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(_FIRST)),
+            _TIE: F.coalesce(F.col(tie).cast("bigint"), F.lit(_FIRST)),
+        }
+    )
+    keys: list[str] = []
+    while True:
+        counts = _bucket_counts(df, by, keys)
+        too_many = F.col("_n") > slice_rows
+        n_dense, large, time_span, tie_span = counts.filter(too_many).agg(
+            F.count(F.lit(1)), F.max("_n"), F.max("_time_span"), F.max("_tie_span")
+        ).first()
+        if n_dense == 0 or time_span + tie_span == 0:
             break
+        col, span = (_TIME, time_span) if time_span > 0 else (_TIE, tie_span)
+        width = int(span) // min(4 * large // slice_rows + 1, MAX_PARTS) + 1
         name = f"_k{len(keys)}"
-        df = (
-            df.join(dense, _same(by, keys, "_by", "_d"), "left")
-            .withColumn(name, F.when(F.col("_dense"), level).otherwise(F.lit(_FIRST)))
-            .drop("_by", *[f"_d{k}" for k in keys], "_dense")
-        )
+        part = F.expr(f"{col} div {width}L")
+        if keys:
+            dense = counts.filter(too_many).select(
+                F.col(by).alias("_by"), *[F.col(k).alias(f"_d{k}") for k in keys], F.lit(True).alias("_dense")
+            )
+            df = df.join(small_side(dense, n_dense), _same(by, keys, "_by", "_d"), "left")
+            df = df.drop("_by", *[f"_d{k}" for k in keys])
+            df = df.withColumn(name, F.when(F.col("_dense"), part).otherwise(F.lit(_FIRST))).drop("_dense")
+        else:
+            df = df.withColumn(name, part)
         keys.append(name)
-        counts = _bucket_counts(df, by, keys)
 
-    in_order = Window.partitionBy(by).orderBy(*keys)
+    in_order = Window.partitionBy(by).orderBy(*(keys or [F.lit(0)]))
     upto = F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     buckets = counts.withColumn("_first", upto - F.col("_n")).withColumn(
         _SLICE, F.floor(F.col("_first") / F.lit(slice_rows)).cast("bigint")
@@ -171,7 +177,7 @@ def slice_rows_of(df: DataFrame, by: str, order: list[str], lookback: int, slice
     )
     return (
         df.join(buckets, _same(by, keys, "_by", "_d"), "inner")
-        .drop("_by", *[f"_d{k}" for k in keys], *keys)
+        .drop("_by", *[f"_d{k}" for k in keys], *keys, _TIME, _TIE)
         .withColumn("_copy", F.explode(copies))
         .withColumns({_SLICE: F.col("_copy.s"), _HALO: F.col("_copy.h")})
         .drop("_copy", "_lend")
@@ -179,7 +185,10 @@ def slice_rows_of(df: DataFrame, by: str, order: list[str], lookback: int, slice
 
 
 def _bucket_counts(df: DataFrame, by: str, keys: list[str]) -> DataFrame:
-    return df.groupBy(by, *keys).agg(F.count(F.lit(1)).alias("_n"))
+    def span(c: str) -> Column:
+        return (F.max(c).cast("double") - F.min(c).cast("double")).alias(f"{c}_span")
+
+    return df.groupBy(by, *keys).agg(F.count(F.lit(1)).alias("_n"), span(_TIME), span(_TIE))
 
 
 def _same(by: str, keys: list[str], other_by: str, prefix: str) -> Column:

@@ -63,14 +63,17 @@ def out_of_range(c: str, bounds: tuple[float, float]) -> Column:
     return F.coalesce((F.col(c) < F.lit(bounds[0])) | (F.col(c) > F.lit(bounds[1])), F.lit(False))
 
 
+def _present(df: DataFrame, ranges: dict[str, tuple[float, float]] | None) -> dict[str, tuple[float, float]]:
+    return {c: b for c, b in (ranges or SENSOR_RANGES).items() if c in df.columns}
+
+
 def range_audit(df: DataFrame, ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
-    ranges = ranges or SENSOR_RANGES
-    tests = {c: out_of_range(c, b) for c, b in ranges.items()}
+    """Count and rate of values outside their range, for the columns that the table has."""
+    tests = {c: out_of_range(c, b) for c, b in _present(df, ranges).items()}
     return _audit(df, tests, "out_of_range", "out_of_range_rate")
 
 
 def add_violations(df: DataFrame, ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """Row variant: an array of the columns that are out of range."""
-    ranges = ranges or SENSOR_RANGES
-    names = F.array(*[F.when(out_of_range(c, b), F.lit(c)) for c, b in ranges.items()])
+    names = F.array(*[F.when(out_of_range(c, b), F.lit(c)) for c, b in _present(df, ranges).items()])
     return df.withColumn("violations", F.filter(names, lambda name: name.isNotNull()))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ampledger.operators import kpis as K
 from ampledger.operators.drift import drifted_column_count, ks_drift
-from ampledger.operators.features import cast_telemetry, derive, fill_null_sensors
+from ampledger.operators.features import cast_telemetry, derive, ensure_key, fill_null_sensors
 from ampledger.operators.forest import fit_transform
 from ampledger.operators.layers import LayerModel, ensemble_vote
 from ampledger.operators.metrics import log_runs, run_row
@@ -22,7 +22,7 @@ from ampledger.sources.sinks import write_anomalies, write_kpis, write_lake, wri
 
 def process(df: DataFrame, **series_args) -> DataFrame:
     """Raw telemetry to the processed table: cast, derive, flag, roll. One shuffle, by vehicle."""
-    return add_rolling(derive(cast_telemetry(df)), **series_args)
+    return add_rolling(derive(cast_telemetry(ensure_key(df))), **series_args)
 
 
 @dataclass(frozen=True)
@@ -82,7 +82,7 @@ def run_daily(
     keys = keys or ["event_id"]
     validate_schema(df)
     nulls, ranges = null_audit(df, SENSOR_COLS), range_audit(df)
-    filled = fill_null_sensors(df)
+    filled = fill_null_sensors(ensure_key(df))
     scored = filled
     for model, flag in ((sequence_model, "l2_seq_flag"), (shape_model, "l3_shape_flag")):
         scored = scored.withColumn(flag, F.lit(0)) if model is None else model.flag(scored, **series_args)

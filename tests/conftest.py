@@ -15,10 +15,10 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    builder = SparkSession.builder.master("local[*]").appName("tests")
+    builder = SparkSession.builder.master("local[4]").appName("tests")
     conf = {
         **SESSION_CONF,
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "2",
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

@@ -150,6 +150,25 @@ def test_sequence_layer_learns_the_faults(rows, layer):
     assert layer.flag(rows).columns == [*rows.columns, "l2_seq_flag"]
 
 
+def test_layer_save_and_load(spark, rows, layer, tmp_path):
+    for _ in range(2):
+        layer.save(str(tmp_path / "layer"))
+    again = L.LayerModel.load(spark, str(tmp_path / "layer"))
+    assert again.scaler == layer.scaler
+    one, two = (sorted(m.flag(rows).filter("l2_seq_flag = 1").select("event_id").collect()) for m in (layer, again))
+    assert one == two
+
+
+def test_tables_without_a_key(rows, tmp_path):
+    bare = rows.drop("event_id", "firmware_ver")
+    job = run_fleet_job(bare, str(tmp_path / "job"))
+    with_key = run_fleet_job(rows, str(tmp_path / "job2"))
+    assert sorted(map(str, job.region.collect())) == sorted(map(str, with_key.region.collect()))
+    run = run_daily(bare.drop("odometer_km"), "2024-02-01", str(tmp_path / "daily"))
+    assert run.scored.count() == rows.count()
+    assert run.ranges.count() == 7
+
+
 def test_layer_flags_agree_on_hot_vehicles(rows, layer):
     plain = layer.flag(rows).filter("l2_seq_flag = 1").select("event_id").collect()
     sliced = layer.flag(rows, hot_rows=40, slice_rows=16).filter("l2_seq_flag = 1").select("event_id").collect()

@@ -33,13 +33,13 @@ def mixed_rows():
     for i in range(120):
         add("A", "2024-01-01 00:00:00")
     for i in range(60):
-        add("A", f"2024-01-01 00:00:00.{i * 131 % 997:03d}")
+        add("A", f"2024-01-01 00:00:0{i % 3}.{i * 131 % 997:03d}")
     for i in range(40):
-        add("A", f"2024-01-0{2 + i % 5} {i % 24:02d}:00:00")
+        add("A", f"2024-01-01 00:{i % 24:02d}:00")
     for i in range(70):
-        add("B", f"2024-0{1 + i % 9}-{1 + i % 28:02d} 0{i % 10}:30:00")
+        add("B", f"2024-01-01 0{i % 3}:{i * 7 % 60:02d}:30")
     for i in range(60):
-        add(None, f"2024-03-01 00:{i:02d}:00")
+        add(None, f"2024-01-01 00:{i:02d}:00")
     for i in range(5):
         add("A", None)
     for n, vehicle in ((1, "one"), (29, "v29"), (30, "v30"), (31, "v31"), (45, "v45")):
@@ -85,8 +85,7 @@ def test_rolling(mixed, args):
             assert got[key]["rolling_std_speed"] == pytest.approx(std, abs=0.000051)
 
 
-@pytest.mark.parametrize("args", [{}, HOT], ids=["plain", "sliced"])
-@pytest.mark.parametrize("horizon", [0, 1])
+@pytest.mark.parametrize("args, horizon", [({}, 1), ({}, 0), (HOT, 1)], ids=["plain", "plain-0", "sliced"])
 def test_sequences(mixed, args, horizon):
     df, series = mixed
     want = {}
@@ -155,6 +154,23 @@ def test_slices_are_bounded_and_split_equal_timestamps(mixed, spark):
     assert max(r["count"] for r in own) < 2 * 64
 
 
+def test_slices_with_hash_keys(mixed):
+    """Keys spread over all 64 bits divide as well as counted ones."""
+    df, series = mixed
+    hashed = df.withColumn("event_id", F.xxhash64("event_id"))
+    plain, sliced = (W.add_position(hashed, **args).select("event_id", "position").collect() for args in ({}, HOT))
+    assert sorted(plain) == sorted(sliced)
+    hot = hashed.filter(F.col("vehicle_id") == "A").withColumn("_length", F.lit(225))
+    own = W.slice_rows_of(hot, "vehicle_id", ["event_ts", "event_id"], 0, 16).groupBy("_slice").count().collect()
+    assert max(r["count"] for r in own) < 2 * 16
+
+
+def test_equal_keys_stay_together(readings):
+    df = readings([{"event_id": 1, "event_ts": "2024-01-01 00:00:00"} for _ in range(60)])
+    out = W.add_rolling(df, hot_rows=20, slice_rows=10)
+    assert out.count() == 60
+
+
 def test_one_series(mixed):
     df, series = mixed
     n = sum(len(s) for s in series.values())
