@@ -37,7 +37,7 @@ def top_regions(kpis: DataFrame, n: int = 10) -> DataFrame:
     return kpis.orderBy(F.desc("anomaly_rate"), "region", "date_").limit(n)
 
 
-def pipeline_summary(df: DataFrame, flag: str = "rule_anomaly") -> DataFrame:
+def processing_summary(df: DataFrame, flag: str = "rule_anomaly") -> DataFrame:
     """Total rows, anomalies and percent, in one aggregate."""
     return df.agg(
         F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(flag), F.lit(0)).alias("anomalies")
@@ -45,7 +45,7 @@ def pipeline_summary(df: DataFrame, flag: str = "rule_anomaly") -> DataFrame:
 
 
 def summary_of_regions(kpis: DataFrame) -> DataFrame:
-    """The same figures as ``pipeline_summary`` from the region KPIs, without another pass over the rows."""
+    """The same figures as ``processing_summary`` from the region KPIs, without another pass over the rows."""
     return kpis.agg(
         F.coalesce(F.sum("total_records"), F.lit(0)).alias("total"),
         F.coalesce(F.sum("total_anomalies"), F.lit(0)).alias("anomalies"),

@@ -636,7 +636,7 @@ _SUMMARY_SQL = """select count(*) as total, cast(sum(rule_anomaly) as bigint) as
 
 @query("processing_summary", _SUMMARY_SQL)
 def processing_summary(spark, sf):
-    return K.pipeline_summary(derived(spark, sf))
+    return K.processing_summary(derived(spark, sf))
 
 
 @query(

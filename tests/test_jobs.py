@@ -114,7 +114,7 @@ def test_batch_summary(spark):
 
 def test_summaries_of_nothing(spark, rows):
     empty = X.derive(rows.limit(0))
-    assert tuple(K.pipeline_summary(empty).first()) == (0, 0, None)
+    assert tuple(K.processing_summary(empty).first()) == (0, 0, None)
     assert K.region_kpis(empty).count() == 0
 
 
