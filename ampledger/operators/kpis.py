@@ -2,35 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fleet_kpis(df: DataFrame, by_day: bool = False) -> DataFrame:
-    """KPIs by vehicle, year, month, hour of day and region; ``by_day`` adds the date."""
-    keys = ["vehicle_id", "year_", "month_", *(["date_"] if by_day else []), "hour_", "region"]
-    return df.groupBy(*keys).agg(
-        F.avg("speed_kmh").alias("avg_speed_kmh"),
-        F.avg("battery_pct").alias("avg_battery_pct"),
-        F.avg("temp_motor_c").alias("avg_temp_motor_c"),
-        F.avg("power_kw").alias("avg_power_kw"),
+def _averages(*cols: str) -> list[Column]:
+    return [F.avg(c).alias(f"avg_{c}") for c in cols]
+
+
+def fleet_measures() -> list[Column]:
+    """The fleet KPIs of any group of processed rows, in batch and on streams."""
+    return [
+        *_averages("speed_kmh", "battery_pct", "temp_motor_c", "power_kw"),
         F.sum("rule_anomaly").alias("anomaly_count"),
         F.count(F.lit(1)).alias("record_count"),
         F.max("odometer_km").alias("max_odometer_km"),
-    )
+    ]
+
+
+def fleet_kpis(df: DataFrame, by_day: bool = False) -> DataFrame:
+    """KPIs by vehicle, year, month, hour of day and region; ``by_day`` adds the date."""
+    day = ["date_"] if by_day else []
+    return df.groupBy("vehicle_id", "year_", "month_", *day, "hour_", "region").agg(*fleet_measures())
 
 
 def region_kpis(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy("region", "date_")
-        .agg(
-            F.count(F.lit(1)).alias("total_records"),
-            F.sum("rule_anomaly").alias("total_anomalies"),
-            F.avg("battery_pct").alias("avg_battery_pct"),
-            F.avg("temp_motor_c").alias("avg_temp_motor_c"),
-        )
-        .withColumn("anomaly_rate", F.round(F.try_divide("total_anomalies", "total_records"), 4))
+    """Record and anomaly totals, averages and the anomaly rate by region and date."""
+    totals = df.groupBy("region", "date_").agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.sum("rule_anomaly").alias("total_anomalies"),
+        *_averages("battery_pct", "temp_motor_c"),
     )
+    rate = F.try_divide("total_anomalies", "total_records")
+    return totals.withColumn("anomaly_rate", F.round(rate, 4))
 
 
 def top_regions(kpis: DataFrame, n: int = 10) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ampledger.functions.scalars import decision
 from ampledger.operators.features import derive
+from ampledger.operators.kpis import fleet_measures
 
 
 def score_rows(df: DataFrame, probability) -> DataFrame:
@@ -27,15 +28,7 @@ def fleet_hourly(df: DataFrame, delay: str = "1 hour") -> DataFrame:
     kpis = (
         df.withWatermark("event_ts", delay)
         .groupBy(F.window("event_ts", "1 hour").alias("w"), "vehicle_id", "region")
-        .agg(
-            F.avg("speed_kmh").alias("avg_speed_kmh"),
-            F.avg("battery_pct").alias("avg_battery_pct"),
-            F.avg("temp_motor_c").alias("avg_temp_motor_c"),
-            F.avg("power_kw").alias("avg_power_kw"),
-            F.sum("rule_anomaly").alias("anomaly_count"),
-            F.count(F.lit(1)).alias("record_count"),
-            F.max("odometer_km").alias("max_odometer_km"),
-        )
+        .agg(*fleet_measures())
     )
     return kpis.select(F.col("w.start").alias("hour_start"), *[c for c in kpis.columns if c != "w"])
 

@@ -38,7 +38,7 @@ def session(cpus: str) -> SparkSession:
     conf = {
         **SESSION_CONF,
         "spark.sql.shuffle.partitions": cpus,
-        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
+        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
         "spark.ui.showConsoleProgress": "false",
     }
     for key, value in conf.items():
