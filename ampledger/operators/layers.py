@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -72,12 +72,15 @@ class LayerModel:
     def flag(self, df: DataFrame, **series_args) -> DataFrame:
         """Add the layer's flag to every row: 1 where the window ending there scores above 0.5.
 
-        Rows without a full window get 0. The columns stay as they are; no join is needed.
+        Rows without a full window get 0; missing sensors count as 0 before scaling.
+        The columns stay as they are; no join is needed.
         """
         names = [_SCALED + c for c in SENSOR_COLS]
+        zero = F.lit(0.0)
+        filled = df.withColumns({_SCALED + c: F.coalesce(F.nanvl(c, zero), zero) for c in SENSOR_COLS})
         table = _table(
             self.kind,
-            self.scaler.transform(df, _SCALED),
+            replace(self.scaler, cols=tuple(names)).transform(filled),
             cols=names,
             label=None,
             keep=df.columns,

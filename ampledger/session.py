@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +25,11 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ampledger-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a staged table, under the session's shared checkpoint folder.
 
@@ -34,6 +40,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="ampledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

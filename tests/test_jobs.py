@@ -150,6 +150,16 @@ def test_sequence_layer_learns_the_faults(rows, layer):
     assert layer.flag(rows).columns == [*rows.columns, "l2_seq_flag"]
 
 
+def test_layer_flags_missing_sensors_as_zero(rows, layer):
+    gaps = rows.withColumn("speed_kmh", F.when(F.col("event_id") % 5 != 0, F.col("speed_kmh")))
+    gaps = gaps.withColumn("voltage_v", F.when(F.col("event_id") % 7 != 0, F.col("voltage_v")).otherwise(float("nan")))
+    one, two = (
+        sorted(layer.flag(df).filter("l2_seq_flag = 1").select("event_id").collect())
+        for df in (gaps, X.fill_null_sensors(gaps))
+    )
+    assert one == two
+
+
 def test_layer_save_and_load(spark, rows, layer, tmp_path):
     for _ in range(2):
         layer.save(str(tmp_path / "layer"))
