@@ -22,6 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from ampledger.llm.arrays import gather, text_bytes, worker_cache
+from ampledger.llm.wordcache import WordCache, coded_words
 
 MARK = "▁"
 #: Longer chunks take the heap; shorter ones are merged together, one row of a matrix each.
@@ -230,48 +231,11 @@ class Pieces:
         return flat, counts
 
 
-class _Cache:
-    """Ids of the chunks seen lately: their places in one array."""
-
-    def __init__(self):
-        self.place: dict[bytes, int] = {}
-        self.starts, self.flat = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.int32)
-        self.count = self.used = 0
-
-    def add(self, keys: list, flat: np.ndarray, sizes: np.ndarray) -> None:
-        total, n = len(flat), len(keys)
-        while self.count + n + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = flat
-        self.starts[self.count + 1 : self.count + n + 1] = self.used + np.cumsum(sizes)
-        self.place.update(zip(keys, range(self.count, self.count + n)))
-        self.count, self.used = self.count + n, self.used + total
-
-    def clear(self) -> None:
-        self.place.clear()
-        self.count = self.used = 0
-
-
-def coded_words(distinct: list, index: np.ndarray, cache: _Cache, encode, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all words one after the other, and how many each word has; new words go to ``encode``."""
-    if cache.count > limit:
-        cache.clear()
-    fresh = [w for w in distinct if w not in cache.place]
-    if fresh:
-        cache.add(fresh, *encode(fresh))
-    at = np.fromiter(map(cache.place.__getitem__, distinct), np.int64, len(distinct))
-    starts, sizes = cache.starts[at], cache.starts[at + 1] - cache.starts[at]
-    sizes = sizes[index]
-    return cache.flat[gather(starts[index], sizes)], sizes
-
-
 def _large(value: str) -> pa.Scalar:
     return pa.scalar(value, pa.large_string())
 
 
-def encode_batch(pieces: Pieces, texts: pa.Array, cache: _Cache, verify: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def encode_batch(pieces: Pieces, texts: pa.Array, cache: WordCache, verify: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a batch of texts, without begin and end, and their n + 1 offsets."""
     texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), MARK, " ")
     # The model puts a space mark before every text that isn't empty.
@@ -333,7 +297,7 @@ def encode_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", tex
 
 def _coded(batches: Iterator[pa.RecordBatch], model_file: str, verify: bool):
     pieces = worker_cache(f"pieces {model_file}", lambda: Pieces(model_file))
-    cache = worker_cache(f"chunks {model_file}", _Cache)
+    cache = worker_cache(f"chunks {model_file}", WordCache)
     begin, end = pieces.library.bos_id(), pieces.library.eos_id()
     for whole in batches:
         for at in range(0, whole.num_rows, 1000):

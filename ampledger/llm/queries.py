@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampledger.llm import language, pieces, quality, urls
+from ampledger.llm import decontaminate, language, licenses, pieces, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,3 +52,21 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents"))
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
