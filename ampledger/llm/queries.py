@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampledger.llm import decontaminate, language, licenses, pieces, quality, urls
+from ampledger.llm import decontaminate, language, licenses, pieces, quality, tokenfiles, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
 LANGUAGE_FOLDS = 5
 
 
@@ -70,3 +71,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenfiles.corpus_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
+    return tokenfiles.read_ids(spark, path, digest=True).withColumnRenamed("key", "doc_id")
