@@ -7,7 +7,6 @@ import types
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 
 #: Bytes that separate words, and the bytes of lower-cased alphanumeric words (UTF-8 beyond ASCII included).
@@ -21,6 +20,9 @@ LOWER[0x41:0x5B] += 0x20
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
+#: Keeps the first n bytes of eight.
+TAIL = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
 
 def worker_cache(name: str, make):
     """A value that a Python worker keeps from task to task."""
@@ -76,23 +78,25 @@ def word_array(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, keep: np.n
     return pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(sizes), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def words(raw: np.ndarray, offsets: np.ndarray, cut: np.ndarray):
-    """Distinct words (Arrow), the index of every word in them, and the words per text as offsets."""
-    starts, ends, keep = spans(raw, offsets, cut)
-    coded = word_array(raw, starts, ends, keep).dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(starts, offsets).astype(np.int64)
-
-
-def hash_strings(values: pa.Array) -> np.ndarray:
-    """64-bit hash of each string."""
-    h = xxhash.xxh3_64_intdigest
-    return np.fromiter((h(x) for x in values.cast(pa.large_binary()).to_pylist()), np.uint64, len(values))
+def word_keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, never 0, and its first eight bytes. Words of up to eight bytes have hashes of their own."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    at = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))
+    size = ends - starts
+    first = at[starts] & TAIL[np.minimum(size, 8)]
+    h = mix(first ^ (np.minimum(size, 8).astype(np.uint64) * GOLDEN))
+    left, k = np.flatnonzero(size > 8), 8
+    while len(left):
+        h[left] = mix((h[left] + size[left].astype(np.uint64)) * GOLDEN + (at[starts[left] + k] & TAIL[np.minimum(size[left] - k, 8)]))
+        k += 8
+        left = left[size[left] > k]
+    return np.where(h == 0, GOLDEN, h), first
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash for every word, and the words per text as offsets."""
-    distinct, index, per_text = words(raw, offsets, cut)
-    return hash_strings(distinct)[index], per_text
+    starts, ends, _ = spans(raw, offsets, cut)
+    return word_keys(raw, starts, ends)[0], np.searchsorted(starts, offsets).astype(np.int64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 
-from ampledger.llm.arrays import LOWER, NOT_ALNUM, hash_strings, ngrams, spans, text_bytes, word_array
+from ampledger.llm.arrays import LOWER, NOT_ALNUM, ngrams, spans, text_bytes, word_keys
 
 #: Names and wording of public license notices.
 TEMPLATES = {
@@ -44,10 +44,8 @@ MAX_TEMPLATE_WORDS = 1_000_000
 
 def _tokens(raw: np.ndarray, offsets: np.ndarray):
     low = LOWER[raw]
-    starts, ends, keep = spans(low, offsets, NOT_ALNUM)
-    coded = word_array(low, starts, ends, keep).dictionary_encode()
-    hashes = hash_strings(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)] if len(starts) else np.zeros(0, np.uint64)
-    return hashes, starts, ends, np.searchsorted(starts, offsets)
+    starts, ends, _ = spans(low, offsets, NOT_ALNUM)
+    return word_keys(low, starts, ends)[0], starts, ends, np.searchsorted(starts, offsets)
 
 
 def winnow(codes: np.ndarray, window: int = WINDOW) -> np.ndarray:

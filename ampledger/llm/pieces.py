@@ -246,15 +246,8 @@ def encode_batch(pieces: Pieces, texts: pa.Array, cache: WordCache, verify: bool
     first[1:] = ~pieces.joined[raw[:-1], raw[1:]]
     first[offsets[:-1][offsets[:-1] < len(raw)]] = True
     starts = np.flatnonzero(first)
-    bounds = np.append(starts, len(raw))
-    coded = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
-    flat, each = coded_words(
-        coded.dictionary.to_pylist(),
-        coded.indices.to_numpy(zero_copy_only=False),
-        cache,
-        lambda new: pieces.encode_chunks(new, verify),
-        CACHE_CHUNKS,
-    )
+    ends = np.append(starts[1:], len(raw))
+    flat, each = coded_words(raw, starts, ends, cache, lambda new: pieces.encode_chunks(new, verify), CACHE_CHUNKS)
     upto = np.concatenate([[0], np.cumsum(each)])
     return flat, upto[np.searchsorted(starts, offsets)]
 

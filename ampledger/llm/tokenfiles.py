@@ -20,18 +20,18 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampledger.llm.arrays import LOWER, SPACE, spans, text_bytes, word_array, worker_cache
+from ampledger.llm.arrays import LOWER, SPACE, spans, text_bytes, worker_cache
 from ampledger.llm.scratch import stage
 from ampledger.llm.wordcache import WordCache, coded_words
 from ampledger.session import scratch_path
 
-LANES = 512
+LANES = 256
 #: Rounds of all lanes between checkpoints.
-CHECKPOINT = 256
+CHECKPOINT = 128
 #: Ids in a block; a longer document is a block of its own.
 BLOCK_IDS = 1 << 18
 #: The frequencies add up to this power of two.
-SCALE = 20
+SCALE = 19
 LOW = np.uint64(1 << 31)
 CACHE_WORDS = 600_000
 
@@ -104,19 +104,22 @@ class Coder:
         parts = -(-rounds // CHECKPOINT)
         kept = np.frombuffer(checkpoints, "<u8")
         at, x = kept[:parts].astype(np.int64), kept[parts:].reshape(parts, LANES).astype(np.uint64)
-        words = np.append(np.frombuffer(stream, "<u4"), np.zeros(1, np.uint32)).astype(np.uint64)
-        out = np.zeros((parts, CHECKPOINT, LANES), np.uint32)
+        words = np.frombuffer(stream, "<u4").astype(np.uint64)
+        out = np.zeros((CHECKPOINT, parts, LANES), np.uint32)
         for t in range(min(CHECKPOINT, rounds)):
-            live = np.minimum(np.full(parts, CHECKPOINT), rounds - np.arange(parts) * CHECKPOINT) > t
+            # Only the last part can have fewer rounds; it stays behind when it is through.
+            if (live := parts - (rounds - (parts - 1) * CHECKPOINT <= t)) < len(x):
+                x, at = x[:live], at[:live]
             slot = x & self.mask
             symbol = self.symbol[slot]
-            out[:, t] = symbol
+            out[t, :live] = symbol
             x = self.freq[symbol] * (x >> self.scale) + slot - self.start[symbol]
-            low = (x < LOW) & live[:, None]
-            place = at[:, None] + np.cumsum(low, axis=1) - low
-            x = np.where(low, (x << _32) | words[np.where(low, place, len(words) - 1)], x)
-            at = at + low.sum(axis=1)
-        return out.reshape(-1)[:n] if parts * CHECKPOINT * LANES >= n else out.reshape(-1)
+            low = x < LOW
+            upto = np.cumsum(low, axis=1)
+            want = words[(at[:, None] + upto - 1)[low]]
+            x[low] = (x[low] << _32) | want
+            at = at + upto[:, -1]
+        return out.transpose(1, 0, 2).reshape(-1)[:n]
 
 
 def tokenize(texts: pa.Array, tokenizer, cache: WordCache) -> tuple[np.ndarray, np.ndarray]:
@@ -135,15 +138,14 @@ def tokenize(texts: pa.Array, tokenizer, cache: WordCache) -> tuple[np.ndarray,
     letter[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
     extra = np.zeros(len(raw), bool)
     extra[1:] = mark[raw[1:]] & letter[raw[:-1]]
-    starts, ends, keep = spans(raw, offsets, SPACE, extra)
-    coded = word_array(raw, starts, ends, keep).dictionary_encode()
+    starts, ends, _ = spans(raw, offsets, SPACE, extra)
 
     def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
         sizes = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter((i for ids in got for i in ids), np.int32, int(sizes.sum())), sizes
 
-    flat, each = coded_words(coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), cache, encode, CACHE_WORDS)
+    flat, each = coded_words(raw, starts, ends, cache, encode, CACHE_WORDS)
     upto = np.concatenate([[0], np.cumsum(each)])
     return flat, upto[np.searchsorted(starts, offsets)]
 
