@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampledger.llm import decontaminate, language, licenses, pieces, quality, tokenfiles, urls
+from ampledger.llm import decontaminate, jaccard, language, licenses, pieces, quality, tokenfiles, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +77,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenfiles.corpus_files(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS))
     return tokenfiles.read_ids(spark, path, digest=True).withColumnRenamed("key", "doc_id")
+
+
+@query("op10_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
