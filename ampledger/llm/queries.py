@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampledger.llm import decontaminate, jaccard, language, licenses, pieces, quality, tokenfiles, urls
+from ampledger.llm import decontaminate, jaccard, language, licenses, lm, pieces, quality, tokenfiles, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op7_lm_score")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = lm.held_out("doc_id")
+    scored = lm.score_texts(table(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
