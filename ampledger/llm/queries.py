@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampledger.llm import decontaminate, jaccard, language, licenses, lm, pieces, quality, tokenfiles, urls
+from ampledger.llm import decontaminate, jaccard, language, licenses, lm, pieces, quality, repeats, tokenfiles, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = lm.held_out("doc_id")
     scored = lm.score_texts(table(spark, sf_dir, "documents"), ~held)
     return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op4_repeat_removal")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
