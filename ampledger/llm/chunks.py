@@ -21,11 +21,11 @@ from ampledger.llm.scratch import stage
 
 
 def pack_chunks(rows: DataFrame, chunk_bytes: int) -> DataFrame:
-    """Stored chunks of rows (key, text, flag): chunk, keys, flags, sizes, body. Null texts are empty.
+    """Stored chunks of rows (key, text, flag; the flag of any type): chunk, keys, flags, sizes, body. Null texts are empty.
 
     A chunk has at most ``chunk_bytes`` bytes of text, or one row.
     """
-    kind = rows.schema["key"].dataType.simpleString()
+    kind, mark = (rows.schema[c].dataType.simpleString() for c in ("key", "flag"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3).compress
@@ -44,7 +44,7 @@ def pack_chunks(rows: DataFrame, chunk_bytes: int) -> DataFrame:
                     ["keys", "flags", "sizes", "body"],
                 )
 
-    packed = rows.select("key", "text", "flag").mapInArrow(run, f"keys array<{kind}>, flags array<boolean>, sizes binary, body binary")
+    packed = rows.select("key", "text", "flag").mapInArrow(run, f"keys array<{kind}>, flags array<{mark}>, sizes binary, body binary")
     return stage(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
 
 

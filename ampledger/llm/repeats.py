@@ -193,24 +193,27 @@ def _unzip(blob: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), kind)
 
 
-def _ranks(keys: list) -> np.ndarray:
-    """Ids as integers; a null id comes after all others."""
-    return np.array([LAST if k is None else k for k in keys], np.int64)
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
+    """One row per input row: id, columns of ``carry``, n_bytes, n_removed, n_spans, kept (binary).
 
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """One row per input row: id, n_bytes, n_removed, n_spans, kept (binary).
+    ``as_text`` gives ``kept`` as a string, without what is left of cut characters.
 
     A byte goes if a window over it (``length`` bytes of UTF-8) also starts in
     a document with a smaller id; windows are judged on the input. Ids are
     integers; a null id is greater than all others. Rows with one id are not
     earlier than each other. Null and empty texts, and texts shorter than a
-    window, lose nothing. Other columns are ignored.
+    window, lose nothing. Columns that aren't carried are ignored.
     """
+    results = ["n_bytes", "n_removed", "n_spans", "kept"]
+    columns = [id_col, *(carry or [])]
+    if set(columns) & set(results):
+        raise ValueError(f"columns are named as results: {sorted(set(columns) & set(results))}")
     if length < K + 1 or length - K + 1 > 256:
         raise ValueError(f"length must be from {K + 1} to {K + 255}")
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text"), F.lit(True).alias("flag"))
+    key = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(columns)))
+    # A null id comes after all others.
+    rows = docs.select(key.alias("key"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST))).alias("flag"))
+    kind = rows.schema["key"].dataType.simpleString()
     chunks = pack_chunks(rows, CHUNK_BYTES)
     buckets = bucket_count(chunks, CHUNK_BYTES, BUCKET_BYTES)
     bounds = bucket_bounds(buckets)
@@ -230,7 +233,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             for i in range(batch.num_rows):
                 _, offsets, _, _, least, doc, whole = looked_at(batch.column("sizes")[i].as_py(), batch.column("body")[i].as_py())
-                ids = _ranks(batch.column("keys")[i].as_py())
+                ids = np.array(batch.column("flags")[i].as_py(), np.int64)
                 order = np.lexsort((doc, least))
                 first = np.ones(len(order), bool)
                 first[1:] = (least[order[1:]] != least[order[:-1]]) | (doc[order[1:]] != doc[order[:-1]])
@@ -271,13 +274,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             }
         )
 
-    asked = chunks.select("chunk", "keys", "sizes", "body").mapInArrow(ask, "bucket int, chunk long, grams binary, counts binary, texts binary, ids binary")
+    asked = chunks.select("chunk", "flags", "sizes", "body").mapInArrow(ask, "bucket int, chunk long, grams binary, counts binary, texts binary, ids binary")
     told = asked.groupBy("bucket").applyInArrow(tell, "chunk long, bucket int, states binary, firsts binary")
 
     def cut(own: pa.Table, answers: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
         raw, offsets, begins, count, least, doc, whole = looked_at(row["sizes"], row["body"])
-        ids = _ranks(row["keys"])
+        ids = np.array(row["flags"], np.int64)
         answers = answers.sort_by("bucket")
         first_id = np.empty(len(ids), np.int64)
         first_id[np.argsort(whole, kind="stable")] = np.concatenate([_unzip(x, np.int64) for x in answers.column("firsts").to_pylist()])
@@ -354,8 +357,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         )
 
     def keep(own: pa.Table, found: pa.Table) -> pa.Table:
-        row = own.to_pylist()[0]
-        raw, offsets = open_chunk(row["sizes"], row["body"])
+        raw, offsets = open_chunk(own.column("sizes")[0].as_py(), own.column("body")[0].as_py())
         places, marks = [], []
         for a, b in (("places", "marks"), ("done_places", "done_marks")):
             for p, m in zip(found.column(a).to_pylist(), found.column(b).to_pylist()):
@@ -382,15 +384,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 "n_bytes": pa.array(np.diff(offsets), pa.int64()),
                 "n_removed": pa.array(upto[offsets[1:]] - upto[offsets[:-1]], pa.int64()),
                 "n_spans": pa.array(spans[offsets[1:]] - spans[offsets[:-1]], pa.int64()),
-                "kept": pa.array(kept, pa.binary()),
+                "kept": pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()),
             }
         )
 
-    columns = "chunk long, shard int, keys binary, size binary, ids binary, places binary, body binary, done_places binary, done_marks binary"
-    fragments = chunks.select("chunk", "keys", "sizes", "body").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, columns)
+    pieces = "chunk long, shard int, keys binary, size binary, ids binary, places binary, body binary, done_places binary, done_marks binary"
+    fragments = chunks.select("chunk", "flags", "sizes", "body").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, pieces)
     found = fragments.groupBy("shard").applyInArrow(judge, "chunk long, places binary, marks binary, done_places binary, done_marks binary")
-    result = chunks.select("chunk", "keys", "sizes", "body").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(keep, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
-    return result.withColumnRenamed("key", id_col)
+    result = chunks.select("chunk", "keys", "sizes", "body").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(keep, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
+    return result.select(*(F.col(f"key.c{i}").alias(c) for i, c in enumerate(columns)), *results)
 
 
 def _bits(count: np.ndarray) -> np.ndarray:
