@@ -30,7 +30,7 @@ K = 20
 #: Most windows in a fragment; their marks are bits of one integer.
 WINDOWS = 32
 CHUNK_BYTES = 1 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: A minimizer that more documents have than this is common: its windows are dealt out one by one, by their content.
 COMMON = 1000
 LAST = np.int64(2**63 - 1)
@@ -126,36 +126,47 @@ class RunIndex:
     def _suffixes(text: np.ndarray) -> np.ndarray:
         """Suffix array by doubling; the ends make every suffix different."""
         n = len(text)
-        _, rank = np.unique(text, return_inverse=True)
-        width = 1
+        rank = text.astype(np.uint64)
+        top = np.uint64(int(text.max(initial=0)) + 2)
+
+        def ahead(values: np.ndarray, width: int) -> np.ndarray:
+            out = np.zeros(n, np.uint64)
+            out[: max(n - width, 0)] = values[width:] + np.uint64(1)
+            return out
+
+        # Three symbols at a time to begin with, where they fit into one integer.
+        if int(top) ** 3 < 2**64:
+            key, width = (rank * top + ahead(rank, 1)) * top + ahead(rank, 2), 3
+        else:
+            key, width = rank * top + ahead(rank, 1), 2
         while True:
-            after = np.zeros(n, np.uint64)
-            after[: n - width] = rank[width:] + 1
-            key = rank.astype(np.uint64) * np.uint64(n + 1) + after
-            order = np.argsort(key, kind="stable")
-            new = np.ones(n, np.int64)
+            order = np.argsort(key)
+            new = np.ones(n, np.uint64)
             new[1:] = key[order[1:]] != key[order[:-1]]
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(new) - 1
-            width *= 2
-            if rank[order[-1]] == n - 1 or width >= n:
+            place = np.cumsum(new) - np.uint64(1)
+            if int(place[-1]) == n - 1:
                 return order
+            rank = np.empty(n, np.uint64)
+            rank[order] = place
+            key = rank * np.uint64(n + 1) + ahead(rank, width)
+            width *= 2
 
     def early(self) -> np.ndarray:
         """Bits of each fragment's windows that a document before its own has."""
         out = np.zeros(len(self.sizes), np.uint32)
         live = np.arange(len(self.sizes))
         place = live.copy()  # the suffix at the end of fragment i stands in place i
+        run = np.searchsorted(self.run_start, place, side="right") - 1
         for step in range(1, int(self.sizes.max(initial=0)) + 1):
-            run = np.searchsorted(self.run_start, place, side="right") - 1
             place = self.base[run] + place - self.run_start[run]
+            run = np.searchsorted(self.run_start, place, side="right") - 1
             if step >= self.length:
-                here = np.searchsorted(self.run_start, place, side="right") - 1
-                found = self.earliest[here] < self.docs[live]
+                found = self.earliest[run] < self.docs[live]
                 hit = live[found]
                 out[hit] |= np.uint32(1) << (self.sizes[hit] - step).astype(np.uint32)
             more = self.sizes[live] > step
-            live, place = live[more], place[more]
+            if not more.all():
+                live, place, run = live[more], place[more], run[more]
         return out
 
 
@@ -297,8 +308,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 place, key = gather(place, n), np.repeat(key, n)
                 n = np.ones(len(place), np.int64)
                 key = word_keys(raw, place, place + length)[0]
-            parts.append((place, n, key))
-        place, n, key = (np.concatenate(x) for x in zip(*parts))
+            parts.append((place, n, key, np.full(len(place), single)))
+        place, n, key, alone = (np.concatenate(x) for x in zip(*parts))
         size = n + length - 1
         mine = ids[np.searchsorted(offsets, place, side="right") - 1] if len(place) else np.zeros(0, np.int64)
         h, tag = word_keys(raw, place, place + size) if len(place) else (key, key)
@@ -312,7 +323,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         shard = np.searchsorted(bounds, mix(key + GOLDEN), side="right") - 1
         asking = asking[np.argsort(shard[asking], kind="stable")]
         cuts = np.searchsorted(shard[asking], np.arange(buckets + 1))
-        table: dict[str, list] = {k: [] for k in ("shard", "keys", "size", "ids", "places", "body")}
+        table: dict[str, list] = {k: [] for k in ("shard", "keys", "size", "ids", "places", "alone", "body")}
         for s in range(buckets):
             some = asking[cuts[s] : cuts[s + 1]]
             table["shard"].append(s)
@@ -320,7 +331,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             table["size"].append(pack_small(size[some]))
             table["ids"].append(_zip(mine[some]))
             table["places"].append(_zip(place[some].astype(np.uint32)))
-            table["body"].append(_zip(raw[gather(place[some], size[some])]))
+            # A window on its own is compared by its hash, so its bytes stay here.
+            shown = some[~alone[some]]
+            table["alone"].append(_zip(alone[some]))
+            table["body"].append(_zip(raw[gather(place[shown], size[shown])]))
         kinds = {"shard": pa.int32()}
         done_places = np.concatenate([place[settled], begins[copy[doc]]]) if len(copy) else place[settled]
         done_marks = np.concatenate([_bits(n[settled]), _bits(count[copy[doc]])])
@@ -336,10 +350,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         )
 
     def judge(table: pa.Table) -> pa.Table:
-        lists = {k: [_unzip(x, t) for x in table.column(k).to_pylist()] for k, t in (("keys", np.uint64), ("ids", np.int64), ("body", np.uint8), ("places", np.uint32))}
+        lists = {k: [_unzip(x, t) for x in table.column(k).to_pylist()] for k, t in (("keys", np.uint64), ("ids", np.int64), ("body", np.uint8), ("places", np.uint32), ("alone", bool))}
         sizes = [unpack_small(x).astype(np.int64) for x in table.column("size").to_pylist()]
         every = np.concatenate(sizes)
-        marks = early_windows(np.concatenate(lists["keys"]), np.concatenate(lists["body"]), every, np.concatenate(lists["ids"]), length)
+        keys, ids, alone = (np.concatenate(lists[k]) for k in ("keys", "ids", "alone"))
+        marks = np.zeros(len(every), np.uint32)
+        marks[~alone] = early_windows(keys[~alone], np.concatenate(lists["body"]), every[~alone], ids[~alone], length)
+        _, at = np.unique(keys[alone], return_inverse=True)
+        least = np.full(int(at.max(initial=-1)) + 1, LAST)
+        np.minimum.at(least, at, ids[alone])
+        marks[alone] = np.where(ids[alone] > least[at], ALL, 0)
         marks &= _bits(every - length + 1)
         split_marks = np.split(marks, np.cumsum([len(s) for s in sizes])[:-1])
         out_places, out_marks = [], []
@@ -388,7 +408,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             }
         )
 
-    pieces = "chunk long, shard int, keys binary, size binary, ids binary, places binary, body binary, done_places binary, done_marks binary"
+    pieces = "chunk long, shard int, keys binary, size binary, ids binary, places binary, alone binary, body binary, done_places binary, done_marks binary"
     fragments = chunks.select("chunk", "flags", "sizes", "body").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut, pieces)
     found = fragments.groupBy("shard").applyInArrow(judge, "chunk long, places binary, marks binary, done_places binary, done_marks binary")
     result = chunks.select("chunk", "keys", "sizes", "body").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(keep, f"key {kind}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}")
