@@ -128,7 +128,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col
                 if place < done:
                     continue
                 pattern = patterns[t]
-                first = max(lo, lo + diagonal - BAND)
+                first = lo + max(0, diagonal - BAND, done)
                 last = min(hi, lo + diagonal + len(pattern) + BAND)
                 a, b, m = align(words[first:last], pattern, lo + diagonal - first)
                 a, b = a + first - lo, b + first - lo

@@ -68,7 +68,8 @@ def learn_weights(table: list[tuple[int, int, int, int]], p0: float, rounds: int
     """
     weights = np.full((CONTEXTS, 3), 1 / 3)
     weights[0] = 0, 0.5, 0.5
-    if not table:
+    if not table:  # nothing was learned from
+        weights[0] = 0, 0, 1
         return weights
     bucket, pair, word, n = np.array(table, np.float64).T
     bucket = bucket.astype(np.int64)
