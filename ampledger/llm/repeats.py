@@ -232,6 +232,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def looked_at(sizes: bytes, body: bytes):
         raw, offsets = open_chunk(sizes, body)
         begins, count, least = window_minimizers(raw, offsets, length)
+        # Minimizers are small numbers by nature: spread them over the buckets.
+        least = mix(least)
         doc = np.searchsorted(offsets, begins, side="right") - 1
         whole, _ = word_keys(raw, offsets[:-1], offsets[1:]) if len(raw) else (np.zeros(len(offsets) - 1, np.uint64), None)
         return raw, offsets, begins, count, least, doc, whole
