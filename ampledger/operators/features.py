@@ -36,11 +36,15 @@ def cast_telemetry(df: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def ensure_key(df: DataFrame, key: str = "event_id") -> DataFrame:
-    """Add a row key where the table has none: a hash of the row, the tie-breaker of equal timestamps.
+    """Add a row key where the table or a row has none: a hash of the row, the tie-breaker of equal timestamps.
 
     Exact copies share it, and may then take each other's place.
     """
-    return df if key in df.columns else df.withColumn(key, F.xxhash64(*df.columns))
+    others = [c for c in df.columns if c != key]
+    hashed = F.xxhash64(*others)
+    if key not in df.columns:
+        return df.withColumn(key, hashed)
+    return df.withColumn(key, F.coalesce(F.col(key), hashed.cast(df.schema[key].dataType)))
 
 
 def add_power(df: DataFrame) -> DataFrame:

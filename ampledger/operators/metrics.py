@@ -124,8 +124,12 @@ def run_row(metrics: DataFrame, run_name: str, params: dict, config_idx: int = 0
     )
 
 
-def log_runs(runs: DataFrame, path: str) -> None:
-    runs.write.mode("append").parquet(path)
+def log_runs(runs: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Append run rows; with ``run_id`` they replace those logged under it before, so that a retry counts once."""
+    if run_id is None:
+        runs.write.mode("append").parquet(path)
+    else:
+        runs.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
 def explode_metrics(runs: DataFrame) -> DataFrame:

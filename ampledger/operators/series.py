@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
 from ampledger.functions.scalars import sensor_vector
@@ -96,6 +97,9 @@ def over_series(
     the borrowed rows, which are dropped afterwards.
     """
     order = order or ORDER_COLS
+    # Slices divide by the tie-breaker as a number, so both ways of working ask for one.
+    if not isinstance(df.schema[order[1]].dataType, T.IntegralType):
+        raise TypeError(f"{order[1]} must be an integer to break ties; hash other keys first")
 
     def over_slices(rows: DataFrame) -> DataFrame:
         sliced = slice_rows_of(rows, by, order, lookback, slice_rows)

@@ -94,7 +94,7 @@ def run_daily(
     anomalies_path, runs_path = f"{out}/anomalies", f"{out}/runs"
     write_anomalies(scored, anomalies_path, run_date)
     params = {"contamination": CONTAMINATION, "min_votes": min_votes, "run_date": run_date}
-    log_runs(run_row(summary, f"ensemble_{run_date}", params), runs_path)
+    log_runs(run_row(summary, f"ensemble_{run_date}", params), runs_path, run_id=run_date)
     return DailyRun(scored, anomalies_path, runs_path, nulls, ranges, summary)
 
 

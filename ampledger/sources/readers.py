@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,44 @@ def read_csv(
     schema: T.StructType = TELEMETRY_SCHEMA,
     timestamp_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
 ) -> DataFrame:
-    reader = spark.read.option("header", True).option("timestampFormat", timestamp_format)
-    return reader.schema(schema).csv(path)
+    """CSV columns by the names in the header, in any order, as the declared types.
+
+    Columns that the schema doesn't have are left out. A missing row key is
+    left to ``ensure_key``; any other missing column raises. A cell that can't
+    be read as its type is null here, and its row is in :func:`csv_rejects`.
+    """
+    raw, cells = _csv_cells(spark, path, schema, timestamp_format)
+    return raw.select(*(value.alias(name) for name, value in cells.items()))
+
+
+def csv_rejects(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = TELEMETRY_SCHEMA,
+    timestamp_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+) -> DataFrame:
+    """The rows, as text, with a filled cell that can't be read as its type."""
+    raw, cells = _csv_cells(spark, path, schema, timestamp_format)
+    bad = F.lit(False)
+    for name, value in cells.items():
+        bad = bad | (F.trim(F.col(f"`{name}`")) != "") & value.isNull()
+    return raw.filter(F.coalesce(bad, F.lit(False)))
+
+
+def _csv_cells(spark: SparkSession, path: str, schema: T.StructType, timestamp_format: str) -> tuple[DataFrame, dict[str, Column]]:
+    raw = spark.read.option("header", True).csv(path)
+    absent = [f.name for f in schema if f.name not in raw.columns and f.name != "event_id"]
+    if absent:
+        raise ValueError(f"the CSV header lacks {absent}")
+    cells = {}
+    for field in schema:
+        if field.name in raw.columns:
+            text = F.trim(F.col(f"`{field.name}`"))
+            if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+                cells[field.name] = F.try_to_timestamp(text, F.lit(timestamp_format)).cast(field.dataType)
+            else:
+                cells[field.name] = text.try_cast(field.dataType)
+    return raw, cells
 
 
 def read_object_store(

@@ -54,15 +54,9 @@ def write_kpis(fleet: DataFrame, region: DataFrame, out: str) -> tuple[str, str]
 
 
 def write_anomalies(df: DataFrame, out: str, run_date: str, flag: str = "is_anomaly") -> None:
-    """Store the flagged rows under their run date; a rerun replaces that date only."""
-    (
-        df.filter(F.col(flag).cast("int") == 1)
-        .withColumn("run_date", F.lit(run_date).cast("date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .parquet(out)
-    )
+    """Store the flagged rows under their run date; a rerun replaces that date only, also by no rows."""
+    flagged = df.filter(F.col(flag).cast("int") == 1).drop("run_date")
+    flagged.write.mode("overwrite").parquet(f"{out}/run_date={run_date}")
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:

@@ -11,6 +11,7 @@ from ampledger.operators import features as X
 from ampledger.operators import kpis as K
 from ampledger.operators import layers as L
 from ampledger.operators.metrics import RUN_SCHEMA, best_config
+from ampledger.operators.series import add_rolling
 from ampledger.plans.jobs import run_daily, run_drift, run_fleet_job
 from ampledger.schema import SENSOR_COLS, TELEMETRY_SCHEMA
 from ampledger.sources import readers as R
@@ -237,3 +238,42 @@ def test_python_workers_need_no_package(sf_dir, tmp_path):
         [sys.executable, "-c", textwrap.dedent(code)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
     )
     assert "rows 1000" in done.stdout, done.stderr[-2000:]
+
+
+def test_rerun_without_hits_leaves_no_stale_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 1), (2, 0)], "event_id long, is_anomaly int")
+    sinks.write_anomalies(rows, str(tmp_path / "a"), "2024-01-01")
+    sinks.write_anomalies(rows, str(tmp_path / "a"), "2024-01-02")
+    sinks.write_anomalies(rows.filter("event_id = 2"), str(tmp_path / "a"), "2024-01-01")
+    stored = spark.read.parquet(str(tmp_path / "a"))
+    assert [(r["event_id"], str(r["run_date"])) for r in stored.collect()] == [(1, "2024-01-02")]
+
+
+def test_retry_logs_one_run(spark, readings, tmp_path):
+    rows = readings([{"speed_kmh": float(i % 90), "event_id": None if i % 2 else i} for i in range(400)])
+    for _ in range(2):
+        run = run_daily(rows, "2024-02-01", str(tmp_path / "d"))
+    assert spark.read.parquet(run.runs_path).count() == 1
+
+
+def test_csv_is_read_by_name(spark, tmp_path):
+    names = [f.name for f in TELEMETRY_SCHEMA if f.name != "event_id"]
+    text = {"vehicle_id": "VH_00001", "event_ts": "2024-01-01 00:09:58", "region": "US-CA", "firmware_ver": "v12.1", "injected_anomaly": "0"}
+    order = sorted(names, reverse=True)
+    lines = [",".join(order)]
+    for speed in ("80.5", "fast", ""):
+        lines.append(",".join({**text, "speed_kmh": speed}.get(n, "1.0") for n in order))
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    got = R.read_csv(spark, str(tmp_path / "in.csv"))
+    assert got.columns == names
+    assert sorted((r["vehicle_id"], str(r["event_ts"]), str(r["speed_kmh"])) for r in got.collect()) == [("VH_00001", "2024-01-01 00:09:58", x) for x in ("80.5", "None", "None")]
+    assert [r["speed_kmh"] for r in R.csv_rejects(spark, str(tmp_path / "in.csv")).collect()] == ["fast"]
+    (tmp_path / "short.csv").write_text("vehicle_id,event_ts\nVH_1,2024-01-01 00:00:00\n")
+    with pytest.raises(ValueError):
+        R.read_csv(spark, str(tmp_path / "short.csv"))
+
+
+def test_text_tie_breaker_is_refused_at_any_size(spark, readings):
+    rows = readings([{}]).withColumn("event_id", F.lit("e0"))
+    with pytest.raises(TypeError):
+        add_rolling(rows)
