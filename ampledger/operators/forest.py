@@ -61,23 +61,26 @@ def flag_scores(scored: DataFrame, offset: float | None) -> DataFrame:
 def _subsamples(df: DataFrame, cols: list[str], keys: list[str], trees: int, size: int, seed: int, n: int) -> DataFrame:
     """``size`` distinct rows per tree: columns tree, h and the sensors.
 
-    Where the table is large enough, each tree takes its own block of the rows
-    with the smallest hashes; a hash bound keeps all but about two blocks' worth
-    of rows out of the ordering. Smaller tables rank their few rows once per tree.
+    The pool is the ``trees * size`` rows with the smallest hashes (all rows of
+    a smaller table), in hash order. Trees take consecutive blocks of it and go
+    on from its start when it ends, at every table size; ``size`` is at most the
+    pool, so no tree has a row twice. A hash bound keeps all but about twice the
+    pool out of the ordering.
     """
     wanted = trees * size
-    key = row_hash(keys, seed)
-    if n >= wanted:
-        share = min(1.0, (2.0 * wanted + 1000) / n)
-        bound = format(min(int(share * 16**8), 16**8 - 1), "08x")
-        near = df.select(key.alias("h"), *cols).filter(F.substring("h", 1, 8) <= bound)
-        near = near.orderBy("h", *cols).limit(wanted)
-        rank = F.row_number().over(Window.orderBy("h", *cols)) - 1
-        return near.withColumn("tree", F.floor(rank / size).cast("int"))
-    per_tree = df.select(key.alias("h"), *cols, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    per_tree = per_tree.withColumn("h", F.md5(F.concat_ws("|", "h", F.col("tree").cast("string")).cast("binary")))
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy("h", *cols))
-    return per_tree.withColumn("_r", rank).filter(F.col("_r") <= size).drop("_r")
+    share = min(1.0, (2.0 * wanted + 1000) / n)
+    bound = format(min(int(share * 16**8), 16**8 - 1), "08x")
+    near = df.select(row_hash(keys, seed).alias("h"), *cols).filter(F.substring("h", 1, 8) <= bound)
+    near = near.orderBy("h", *cols).limit(wanted)
+    ranked = near.withColumn("_rank", F.row_number().over(Window.orderBy("h", *cols)) - 1)
+    places = F.sequence(F.col("_rank"), F.lit(wanted - 1), F.lit(min(n, wanted)))
+    dealt = ranked.select("h", *cols, F.explode(places).alias("_place"))
+    return dealt.withColumn("tree", F.floor(F.col("_place") / size).cast("int")).drop("_place")
+
+
+def _check_sample(h: pd.Series, size: int, keys: list[str]) -> None:
+    if len(h) != size or 2 * h.nunique() < size:
+        raise ValueError(f"columns {keys} do not tell the rows apart; sampling needs a unique key")
 
 
 def fit_isolation_forest(
@@ -98,12 +101,15 @@ def fit_isolation_forest(
     sample = _subsamples(df, cols, keys, trees, size, seed, n)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        _check_sample(pdf["h"], size, keys)
         pdf = pdf.sort_values(["h", *cols])
         return grow_tree(pdf[cols].to_numpy(dtype=float), int(pdf["tree"].iloc[0]), seed)
 
     # A fixed partition count: adaptive execution would join the small groups into one task.
     spread = min(trees, df.sparkSession.sparkContext.defaultParallelism)
     grown = sample.repartition(spread, "tree").groupBy("tree").applyInPandas(grow, _NODE_SCHEMA).toPandas()
+    if grown["tree"].nunique() != trees:
+        raise ValueError(f"columns {keys} do not tell the rows apart; sampling needs a unique key")
     shape = (trees, int(grown["node"].max()) + 1)
 
     def table(name: str, dtype) -> np.ndarray:

@@ -71,27 +71,21 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def batch_summary(scored: DataFrame, batch: str = "batch_id", position: str = "position", part_rows: int = 1000) -> DataFrame:
-    """Totals per batch with its results as arrays of at most ``part_rows``, one row per part.
+def batch_summary(scored: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """One row of totals per batch of any size, partially aggregated before the shuffle."""
+    return (
+        scored.groupBy(batch)
+        .agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(F.col("is_anomaly").cast("int")), F.lit(0)).alias("anomalies_found"))
+        .withColumn("anomaly_rate", F.round(F.try_divide("anomalies_found", "total"), 4))
+    )
+
+
+def batch_results(scored: DataFrame, batch: str = "batch_id", position: str = "position", part_rows: int = 1000) -> DataFrame:
+    """The results of each batch in order of position, ``part_rows`` positions to an array.
 
-    A batch of up to ``part_rows`` readings is one row. Larger ones go on in
-    further parts, so no task gathers a whole batch; every part carries the totals.
-    Readings are placed by their position, which parsing a request provides.
+    No task gathers a whole batch. Parsing a request gives every reading its
+    position; a reading without one (a reject) is an error.
     """
+    part = F.coalesce(F.floor(F.col(position) / F.lit(part_rows)).cast("bigint"), F.raise_error(f"a result has no {position}").cast("bigint"))
     result = F.struct(position, "vehicle_id", "is_anomaly", "anomaly_score", "confidence", "label")
-    parts = scored.groupBy(batch, F.floor(F.col(position) / F.lit(part_rows)).cast("bigint").alias("part")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(F.col("is_anomaly").cast("int")).alias("_hits"),
-        F.array_sort(F.collect_list(result)).alias("results"),
-    )
-    totals = (
-        scored.groupBy(F.col(batch).alias("_batch"))
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.sum(F.col("is_anomaly").cast("int")).alias("anomalies_found"),
-        )
-        .withColumn("anomaly_rate", F.round(F.try_divide("anomalies_found", "total"), 4))
-    )
-    return parts.join(totals, F.col(batch).eqNullSafe(F.col("_batch"))).select(
-        batch, "part", "total", "anomalies_found", "anomaly_rate", "results"
-    )
+    return scored.groupBy(batch, part.alias("part")).agg(F.array_sort(F.collect_list(result)).alias("results"))

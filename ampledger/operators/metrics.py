@@ -73,18 +73,21 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
     return counts.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def weighted_log_loss(df: DataFrame, mean: str | None = "rows", z0: str = "z0", z1: str = "z1", label: str = "label") -> DataFrame:
-    """Cross-entropy with class weights: averaged over rows, over weights, or unweighted (None)."""
+def log_losses(df: DataFrame, z0: str = "z0", z1: str = "z1", label: str = "label") -> DataFrame:
+    """Cross-entropy with class weights averaged over ``rows`` and over ``weights``, and ``unweighted``, in one aggregate."""
     loss, weight = log_softmax_loss(z0, z1, label), class_weight(label)
-    if mean == "rows":
-        value = F.avg(weight * loss)
-    elif mean == "weights":
-        value = F.try_divide(F.sum(weight * loss), F.sum(weight))
-    elif mean is None:
-        value = F.avg(loss)
-    else:
+    return df.agg(
+        F.avg(weight * loss).alias("rows"),
+        F.try_divide(F.sum(weight * loss), F.sum(weight)).alias("weights"),
+        F.avg(loss).alias("unweighted"),
+    )
+
+
+def weighted_log_loss(df: DataFrame, mean: str | None = "rows", z0: str = "z0", z1: str = "z1", label: str = "label") -> DataFrame:
+    """One of ``log_losses``: averaged over rows, over weights, or unweighted (None)."""
+    if mean not in ("rows", "weights", None):
         raise ValueError(f"unknown mean {mean!r}")
-    return df.agg(value.alias("log_loss"))
+    return log_losses(df, z0, z1, label).select(F.col(mean or "unweighted").alias("log_loss"))
 
 
 def false_positive_reduction(df: DataFrame, ensemble: str = "is_anomaly", single: str = "l1_iso_flag", label: str = "label") -> DataFrame:

@@ -650,21 +650,43 @@ def run_summary(spark, sf):
 
 @query(
     "batch_summary",
-    """select batch_id, cast(min(position // 1000) as bigint) as part, count(*) as total, count(*) filter (where is_anomaly) as anomalies_found,
-         round(cast(count(*) filter (where is_anomaly) as double) / count(*), 4) as anomaly_rate,
-         cast(count(*) as int) as n_results, arg_min(vehicle_id, position) as first_vehicle,
-         round(sum(anomaly_score), 4) as score_sum
+    """select batch_id, count(*) as total, count(*) filter (where is_anomaly) as anomalies_found,
+         round(cast(count(*) filter (where is_anomaly) as double) / count(*), 4) as anomaly_rate
        from decided group by batch_id""",
 )
 def batch_summary(spark, sf):
-    parts = K.batch_summary(decisions(spark, sf))
+    return K.batch_summary(decisions(spark, sf))
+
+
+def large_batches(spark, sf):
+    """Batches of 2,500 readings."""
+    size = F.lit(2500)
+    return decisions(spark, sf).withColumns(
+        {"batch_id": F.floor(F.col("event_id") / size), "position": (F.col("event_id") % size).cast("int")}
+    )
+
+
+@query(
+    "batch_summary_large",
+    """select event_id // 2500 as batch_id, count(*) as total, count(*) filter (where is_anomaly) as anomalies_found,
+         round(cast(count(*) filter (where is_anomaly) as double) / count(*), 4) as anomaly_rate
+       from decided group by event_id // 2500""",
+)
+def batch_summary_large(spark, sf):
+    return K.batch_summary(large_batches(spark, sf))
+
+
+@query(
+    "batch_results",
+    """select event_id // 2500 as batch_id, event_id % 2500 // 1000 as part, cast(count(*) as int) as n_results,
+         arg_min(vehicle_id, event_id) as first_vehicle, round(sum(anomaly_score), 4) as score_sum
+       from decided group by event_id // 2500, event_id % 2500 // 1000""",
+)
+def batch_results(spark, sf):
     score_sum = F.aggregate("results", F.lit(0.0), lambda a, r: a + r["anomaly_score"])
-    return parts.select(
+    return K.batch_results(large_batches(spark, sf)).select(
         "batch_id",
         "part",
-        "total",
-        "anomalies_found",
-        "anomaly_rate",
         F.size("results").alias("n_results"),
         F.col("results")[0]["vehicle_id"].alias("first_vehicle"),
         F.round(score_sum, 4).alias("score_sum"),
@@ -737,11 +759,8 @@ def classification_report(spark, sf):
        union all select 'unweighted', round(avg(loss), 6) from l""",
 )
 def weighted_log_loss(spark, sf):
-    def one(name, mean):
-        loss = M.weighted_log_loss(logits(spark, sf), mean)
-        return loss.select(F.lit(name).alias("mean"), *_rounded(["log_loss"]))
-
-    return one("rows", "rows").unionByName(one("weights", "weights")).unionByName(one("unweighted", None))
+    means = [F.struct(F.lit(m).alias("mean"), F.round(m, 6).alias("log_loss")) for m in ("rows", "weights", "unweighted")]
+    return M.log_losses(logits(spark, sf)).select(F.inline(F.array(*means)))
 
 
 @query(

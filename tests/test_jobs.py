@@ -104,13 +104,20 @@ def scored(spark, n, batch=1):
 
 
 def test_batch_summary(spark):
-    one = K.batch_summary(scored(spark, 8)).collect()
-    assert [(r["part"], r["total"], r["anomalies_found"], r["anomaly_rate"]) for r in one] == [(0, 8, 2, 0.25)]
+    for n in (8, 2500):
+        totals = K.batch_summary(scored(spark, n)).collect()
+        assert [(r["total"], r["anomalies_found"], r["anomaly_rate"]) for r in totals] == [(n, n // 4, 0.25)]
+    assert K.batch_summary(scored(spark, 0)).count() == 0
+
+
+def test_batch_results(spark):
+    one = K.batch_results(scored(spark, 8)).collect()
     assert [x["position"] for x in one[0]["results"]] == list(range(8))
-    parts = K.batch_summary(scored(spark, 2500)).orderBy("part").collect()
+    parts = K.batch_results(scored(spark, 2500)).orderBy("part").collect()
     assert [len(r["results"]) for r in parts] == [1000, 1000, 500]
-    assert {r["total"] for r in parts} == {2500}
-    assert K.batch_summary(scored(spark, 0)).count() == 0
+    assert [x["position"] for r in parts for x in r["results"]] == list(range(2500))
+    with pytest.raises(Exception, match="no position"):
+        K.batch_results(scored(spark, 3).withColumn("position", F.lit(None).cast("int"))).collect()
 
 
 def test_summaries_of_nothing(spark, rows):

@@ -36,6 +36,7 @@ def test_exact_quantile_narrowed(spark, q):
     values = [rng.gauss(0, 1) for _ in range(2000)] + [0.25] * 1000
     got = exact_quantile(numbers(spark, values), "v", q, gather_rows=50)
     assert got == pytest.approx(linear_quantile(values, q), abs=1e-12)
+    assert got == exact_quantile(numbers(spark, values), "v", q)
 
 
 def test_exact_quantile_ignores_null_and_empty(spark):
@@ -237,6 +238,23 @@ def test_forest_large_table_takes_own_blocks(sensors):
     assert sample.select("h").distinct().count() == 100
 
 
+def test_forest_samples_small_tables_by_the_same_rule(readings):
+    from ampledger.operators.forest import _subsamples
+
+    df = readings([{"speed_kmh": float(i)} for i in range(30)])
+    sample = _subsamples(df, SENSOR_COLS, ["event_id"], 5, 20, 42, 30).collect()
+    for t in range(5):
+        assert len({r["h"] for r in sample if r["tree"] == t}) == sum(r["tree"] == t for r in sample) == 20
+    pool = [r["h"] for r in _subsamples(df, SENSOR_COLS, ["event_id"], 1, 30, 42, 30).orderBy("h").collect()]
+    for t in range(5):
+        assert {r["h"] for r in sample if r["tree"] == t} == {pool[(20 * t + j) % 30] for j in range(20)}
+
+
+def test_forest_refuses_a_key_that_tells_nothing_apart(sensors):
+    with pytest.raises(Exception, match="do not tell the rows apart"):
+        fit_isolation_forest(sensors.withColumn("event_id", F.lit(None).cast("bigint")), trees=3, subsample=64)
+
+
 def test_forest_on_few_rows(readings):
     df = readings([{"speed_kmh": float(i)} for i in range(3)])
     assert fit_isolation_forest(df, trees=3).transform(df).count() == 3
