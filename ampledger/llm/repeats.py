@@ -35,6 +35,7 @@ BUCKET_BYTES = 8 << 20
 COMMON = 1000
 LAST = np.int64(2**63 - 1)
 ALL = np.uint32(0xFFFFFFFF)
+LOW16 = np.uint64(0xFFFF)
 
 
 def window_minimizers(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,6 +76,13 @@ def window_minimizers(raw: np.ndarray, offsets: np.ndarray, length: int) -> tupl
     return begins_all, np.minimum(np.repeat(count, parts) - step * WINDOWS, WINDOWS), np.repeat(least[begins], parts)
 
 
+def dense(sorted_ids: np.ndarray) -> np.ndarray:
+    """Ascending numbers counted anew from 0; a chunk has fewer than 2**16 texts as long as a window."""
+    out = np.zeros(len(sorted_ids), np.uint64)
+    out[1:] = np.cumsum(sorted_ids[1:] != sorted_ids[:-1])
+    return out
+
+
 class RunIndex:
     """Run-compressed transform of fragments in document order, with the first document at each run's end."""
 
@@ -83,21 +91,19 @@ class RunIndex:
         total = int(sizes.sum()) + count
         ends = np.cumsum(sizes + 1) - 1
         self.first = ends - sizes
-        text = np.zeros(total, np.int64)
         inner = np.ones(total, bool)
         inner[ends] = False
-        # Each fragment has an end of its own; ends stand before all bytes, in order.
-        text[inner] = body.astype(np.int64) + count
-        text[ends] = np.arange(count)
-        order = self._suffixes(text)
+        # Each fragment has an end of its own (0 here); ends stand before all bytes, in order of the fragments.
+        text = np.zeros(total, np.uint64)
+        text[inner] = body.astype(np.uint64) + np.uint64(1)
+        remain = np.repeat(ends, sizes + 1) - np.arange(total)
+        order = self._suffixes(text, remain)
         owner = np.repeat(np.arange(count), sizes + 1)
-        before = np.where(order > 0, text[order - 1], -1)
-        before[before < count] = -1
+        before = np.where(order > 0, text[order - 1].astype(np.int64) - 1, -1)
         # Neighbours with the same window form an interval; runs end at its borders too.
-        left = ends[owner[order]] - order
-        full = left >= length
+        full = remain[order] >= length
         same = full[1:] & full[:-1]
-        plain = np.concatenate([np.where(inner, text - count, 0).astype(np.uint8), np.zeros(8, np.uint8)])
+        plain = np.concatenate([np.where(inner, text - np.uint64(1), np.uint64(0)).astype(np.uint8), np.zeros(8, np.uint8)])
         at = np.ndarray((total + 1,), "<u8", plain, strides=(1,))
         for k in [*range(0, length - 8, 8), length - 8]:
             near = np.flatnonzero(same)
@@ -107,6 +113,10 @@ class RunIndex:
         run = cut.copy()
         run[1:] |= before[1:] != before[:-1]
         self.run_start = np.flatnonzero(run)
+        # The starts as bits, with the runs before each word: the run of a place is a count of bits.
+        words = np.packbits(np.append(run, np.zeros(-total % 64, bool)), bitorder="little").view("<u8")
+        ones = np.bitwise_count(words).astype(np.int64)
+        self.words, self.ahead = words, np.cumsum(ones) - ones
         head = before[self.run_start]
         run_size = np.diff(np.append(self.run_start, total))
         doc_of = docs[owner[order]]
@@ -120,46 +130,60 @@ class RunIndex:
         base[by_symbol] = np.cumsum(run_size[by_symbol]) - run_size[by_symbol]
         # Symbol -1 stands for all ends; they come first, so the bases of bytes need no correction.
         self.base = base
-        self.sizes, self.docs, self.length, self.text = sizes, docs, length, text
+        self.sizes, self.docs, self.length = sizes, docs, length
 
     @staticmethod
-    def _suffixes(text: np.ndarray) -> np.ndarray:
-        """Suffix array by doubling; the ends make every suffix different."""
-        n = len(text)
-        rank = text.astype(np.uint64)
-        top = np.uint64(int(text.max(initial=0)) + 2)
-
-        def ahead(values: np.ndarray, width: int) -> np.ndarray:
-            out = np.zeros(n, np.uint64)
-            out[: max(n - width, 0)] = values[width:] + np.uint64(1)
-            return out
-
-        # Three symbols at a time to begin with, where they fit into one integer.
-        if int(top) ** 3 < 2**64:
-            key, width = (rank * top + ahead(rank, 1)) * top + ahead(rank, 2), 3
-        else:
-            key, width = rank * top + ahead(rank, 1), 2
-        while True:
-            order = np.argsort(key)
-            new = np.ones(n, np.uint64)
-            new[1:] = key[order[1:]] != key[order[:-1]]
-            place = np.cumsum(new) - np.uint64(1)
-            if int(place[-1]) == n - 1:
-                return order
-            rank = np.empty(n, np.uint64)
-            rank[order] = place
-            key = rank * np.uint64(n + 1) + ahead(rank, width)
+    def _suffixes(text: np.ndarray, remain: np.ndarray) -> np.ndarray:
+        """Suffix array by doubling from seven symbols on; only suffixes that are still equal are ordered again."""
+        n, width = len(text), 7
+        padded = np.concatenate([text, np.zeros(width, np.uint64)])
+        key = np.zeros(n, np.uint64)
+        for j in range(width):
+            key = key << np.uint64(9) | padded[j : j + n]
+        # Nothing counts behind a fragment's end.
+        behind = (9 * np.maximum(width - 1 - remain, 0)).astype(np.uint64)
+        key = key >> behind << behind
+        order = np.argsort(key)
+        key = key[order]
+        new = np.ones(n, bool)
+        new[1:] = key[1:] != key[:-1]
+        begin = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        # Suffixes that end within the key differ by their ends alone.
+        short = np.flatnonzero(remain[order] < width)
+        ended = order[short]
+        order[short] = ended[np.argsort(begin[short] * n + ended)]
+        new[short] = True
+        begin[short] = short
+        rank = np.empty(n, np.int64)
+        rank[order] = begin
+        slots = np.flatnonzero(~(new & np.append(new[1:], True)))
+        while len(slots):
+            tied = order[slots]
+            pair = rank[tied] * (n + 1) + rank[tied + width]
+            by = np.argsort(pair)
+            pair, tied = pair[by], tied[by]
+            new = np.ones(len(slots), bool)
+            new[1:] = pair[1:] != pair[:-1]
+            order[slots] = tied
+            rank[tied] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
+            slots = slots[~(new & np.append(new[1:], True))]
             width *= 2
+        return order
+
+    def _run_of(self, place: np.ndarray) -> np.ndarray:
+        word = place >> 6
+        upto = np.uint64(2**64 - 1) >> (63 - (place & 63)).astype(np.uint64)
+        return self.ahead[word] + np.bitwise_count(self.words[word] & upto) - 1
 
     def early(self) -> np.ndarray:
         """Bits of each fragment's windows that a document before its own has."""
         out = np.zeros(len(self.sizes), np.uint32)
         live = np.arange(len(self.sizes))
         place = live.copy()  # the suffix at the end of fragment i stands in place i
-        run = np.searchsorted(self.run_start, place, side="right") - 1
+        run = self._run_of(place)
         for step in range(1, int(self.sizes.max(initial=0)) + 1):
             place = self.base[run] + place - self.run_start[run]
-            run = np.searchsorted(self.run_start, place, side="right") - 1
+            run = self._run_of(place)
             if step >= self.length:
                 found = self.earliest[run] < self.docs[live]
                 hit = live[found]
@@ -247,10 +271,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for i in range(batch.num_rows):
                 _, offsets, _, _, least, doc, whole = looked_at(batch.column("sizes")[i].as_py(), batch.column("body")[i].as_py())
                 ids = np.array(batch.column("flags")[i].as_py(), np.int64)
-                order = np.lexsort((doc, least))
-                first = np.ones(len(order), bool)
-                first[1:] = (least[order[1:]] != least[order[:-1]]) | (doc[order[1:]] != doc[order[:-1]])
-                keys, n = np.unique(least[order[first]], return_counts=True)
+                # Distinct pairs of a minimizer (48 bits tell them apart) and a document with windows, in one sort.
+                pairs = np.unique(least & ~LOW16 | dense(doc))
+                keys, n = np.unique(pairs & ~LOW16, return_counts=True)
                 texts = np.argsort(whole, kind="stable")
                 grams, copies = split(keys), split(whole[texts])
                 yield pa.RecordBatch.from_arrays(
@@ -298,7 +321,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         first_id = np.empty(len(ids), np.int64)
         first_id[np.argsort(whole, kind="stable")] = np.concatenate([_unzip(x, np.int64) for x in answers.column("firsts").to_pylist()])
         copy = (first_id < ids) & (np.diff(offsets) >= length)
-        _, at = np.unique(least, return_inverse=True)
+        _, at = np.unique(least & ~LOW16, return_inverse=True)
         state = np.concatenate([unpack_small(x) for x in answers.column("states").to_pylist()])[at] if len(least) else np.zeros(0, np.uint32)
         # Copies of an earlier text are settled; so are windows that no other document can have.
         open_ = (state > 0) & ~copy[doc]
