@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ampledger.functions.scalars import argmax_class, class_weight, decision, sensor_vector, tile
 from ampledger.operators.metrics import classification_metrics, run_row
 from ampledger.operators.scaling import Scaler, fit_scaler
-from ampledger.operators.series import make_sequences, shape_columns, shape_features
+from ampledger.operators.series import chronological_split, make_sequences, shape_columns, shape_features
 from ampledger.schema import SENSOR_COLS, SEQ_LEN
 
 # Five settings per layer, in the order they are tried.
@@ -34,6 +34,8 @@ SHAPE_CONFIGS = [
 ]
 
 
+#: About so many windows, at most, are learned from (see ``training_table``).
+FIT_ROWS = 500_000
 FLAGS = {"sequence": "l2_seq_flag", "shape": "l3_shape_flag"}
 _SCALED = "_scaled_"
 _STATE_SCHEMA = "kind string, seq_len int, cols array<string>, means array<double>, stds array<double>"
@@ -60,7 +62,7 @@ class LayerModel:
         """Write the classifier and the scaler; an existing model at the path is replaced."""
         self.model.write().overwrite().save(f"{path}/model")
         state = [(self.kind, self.seq_len, list(self.scaler.cols), list(self.scaler.means), list(self.scaler.stds))]
-        spark = SparkSession.getActiveSession()
+        spark = SparkSession.active()
         spark.createDataFrame(state, _STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/state")
 
     @staticmethod
@@ -106,9 +108,15 @@ def _table(kind: str, scaled: DataFrame, cols: list[str] = SENSOR_COLS, **args)
     raise ValueError(f"unknown layer kind {kind!r}")
 
 
-def training_table(df: DataFrame, kind: str, scaler: Scaler, **args) -> DataFrame:
-    """Vectors, labels and class weights of all full windows."""
+def training_table(df: DataFrame, kind: str, scaler: Scaler, fit_rows: int = FIT_ROWS, **args) -> DataFrame:
+    """Vectors, labels and class weights of about ``fit_rows`` full windows, or of all of a smaller table.
+
+    Windows are chosen by the hash of their numbers, the same in every run.
+    """
     table = _table(kind, scaler.transform(df), **args)
+    n = df.count()
+    if n > fit_rows:
+        table = table.filter(F.pmod(F.xxhash64("features"), F.lit(1 << 40)) < F.lit(int(fit_rows / n * (1 << 40))))
     return table.withColumns({"features": array_to_vector("features"), "weight": class_weight("label")})
 
 
@@ -141,29 +149,41 @@ def fit_layer(df: DataFrame, kind: str = "sequence", params: dict | None = None,
         table.unpersist()
 
 
-def config_grid(df: DataFrame, kind: str = "sequence", configs: list[dict] | None = None, **args) -> DataFrame:
-    """Fit every configuration on the first 80 % of each series' windows and report metrics on the rest.
+def fit_grid(df: DataFrame, kind: str = "sequence", configs: list[dict] | None = None, metric: str = "f1", scale_on: str = "all", **args) -> tuple[DataFrame, LayerModel | None]:
+    """Fit every configuration on the first 80 % of each series' windows, with metrics on the rest.
 
-    Returns run rows; ``metrics.best_config`` picks the winner.
+    Returns the run rows and the model of the best run by ``metric``; ties keep
+    the earliest, and None means that all are 0. The scaler learns from all
+    rows, or with ``scale_on="train"`` from the first 80 % of each series.
     """
+    if scale_on not in ("all", "train"):
+        raise ValueError(f"scale_on must be 'all' or 'train', not {scale_on!r}")
     configs = configs or (SEQUENCE_CONFIGS if kind == "sequence" else SHAPE_CONFIGS)
-    scaler = fit_scaler(df)
+    base = chronological_split(df).filter(F.col("split") == "train") if scale_on == "train" else df
+    scaler = fit_scaler(base)
     table = training_table(df, kind, scaler, split="sequences", **args)
     table = table.select("features", "label", "weight", "split").persist()
     try:
         train, val = table.filter(F.col("split") == "train"), table.filter(F.col("split") == "val")
-        runs = []
+        runs, best, highest = [], None, 0.0
         for idx, params in enumerate(configs):
-            model = LayerModel(kind, scaler, _fit(kind, train, params))
+            model = LayerModel(kind, scaler, _fit(kind, train, params), args.get("seq_len", SEQ_LEN))
             # One row of four figures per configuration; the cached windows are not needed later.
             row = classification_metrics(model.score(val)).first()
+            if row[metric] > highest:
+                best, highest = model, row[metric]
             figures = df.sparkSession.createDataFrame([row])
             runs.append(run_row(figures, f"{kind}_config_{idx + 1}", params, config_idx=idx))
-        return reduce(DataFrame.unionByName, runs)
+        return reduce(DataFrame.unionByName, runs), best
     finally:
         table.unpersist()
 
 
+def config_grid(df: DataFrame, kind: str = "sequence", configs: list[dict] | None = None, **args) -> DataFrame:
+    """The run rows of ``fit_grid``."""
+    return fit_grid(df, kind, configs, **args)[0]
+
+
 def ensemble_vote(
     df: DataFrame,
     flags: tuple[str, ...] = ("l1_iso_flag", "l2_seq_flag", "l3_shape_flag"),

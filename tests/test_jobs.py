@@ -210,6 +210,25 @@ def test_config_grid(rows):
     assert best_config(runs).count() <= 1
 
 
+def test_grid_keeps_its_best_model(rows):
+    filled = X.fill_null_sensors(rows)
+    runs, best = L.fit_grid(filled, "sequence", L.SEQUENCE_CONFIGS[1:3], scale_on="train")
+    winner = best_config(runs).first()
+    assert (best is None) == (winner is None)
+    if best is not None:
+        assert best.flag(filled).count() == filled.count()
+    assert best is None or best.scaler != L.fit_scaler(filled)
+
+
+def test_training_windows_are_bounded(rows):
+    filled = X.fill_null_sensors(rows)
+    scaler = L.fit_scaler(filled)
+    every = L.training_table(filled, "sequence", scaler).count()
+    limit = filled.count() // 2
+    some = L.training_table(filled, "sequence", scaler, fit_rows=limit).count()
+    assert 0.3 * every < some < 0.7 * every
+
+
 def test_batch_score(rows, layer):
     out = L.batch_score(rows, layer, keep=["event_id", "vehicle_id"])
     assert out.columns == ["event_id", "vehicle_id", "is_anomaly", "anomaly_score", "confidence", "label"]
