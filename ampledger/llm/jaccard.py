@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampledger.llm.arrays import GOLDEN, LOWER, SPACE, mix, ngrams, pack, text_bytes, unpack, word_hashes
+from ampledger.llm.arrays import GOLDEN, LOWER, SPACE, give_back, mix, ngrams, pack, text_bytes, unpack, word_hashes
 from ampledger.llm.components import components
 from ampledger.llm.scratch import stage
 
@@ -197,7 +197,7 @@ def near_duplicates(
                     [batch.column(0), pa.array(c.view(np.int64)), pa.array(d.view(np.int64)), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())],
                     ["id", "c", "d", "size", "sig"],
                 )
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     signed = stage(source.mapInArrow(sign, f"id {kind}, c long, d long, size long, sig binary"), "signed")
     classes = stage(
@@ -261,7 +261,7 @@ def near_duplicates(
             linked = root != members
             out_a.append(members[linked])
             out_b.append(root[linked])
-        pa.default_memory_pool().release_unused()
+        give_back()
         join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
         return pa.table({"a": pa.array(join(out_a), pa.int64()), "b": pa.array(join(out_b), pa.int64())})
 
@@ -280,7 +280,7 @@ def near_duplicates(
                 c, _ = set_keys(codes, offsets)
                 blobs = [pack(codes[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)), pa.array(blobs, pa.binary())], ["c", "codes"])
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     wanted = members.select(F.col("id").alias("wanted")).distinct()
     texts = source.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
@@ -315,7 +315,7 @@ def near_duplicates(
             links = np.bincount(a, copies[b], len(own)) + np.bincount(b, copies[a], len(own))
             kept = links > 0
             out.append((members_[kept], links[kept].astype(np.int64), _star(members_, a, b)[kept]))
-        pa.default_memory_pool().release_unused()
+        give_back()
         names, kinds = ("c", "links", "root"), [np.concatenate(x) if out else np.zeros(0, np.int64) for x in (zip(*out) if out else [()] * 3)]
         return pa.table({n: pa.array(v, pa.int64()) for n, v in zip(names, kinds)})
 

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampledger.llm.arrays import GOLDEN, gather, mix, pack, pack_small, unpack, unpack_small, word_keys
+from ampledger.llm.arrays import GOLDEN, gather, give_back, mix, pack, pack_small, unpack, unpack_small, word_keys
 from ampledger.llm.chunks import bucket_bounds, bucket_count, open_chunk, pack_chunks
 
 #: Fixed value of the contract: bytes of a window.
@@ -33,6 +33,8 @@ CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
 #: A minimizer that more documents have than this is common: its windows are dealt out one by one, by their content.
 COMMON = 1000
+#: Places of an index that are looked at together where each needs several numbers for a moment.
+PART = 1 << 20
 LAST = np.int64(2**63 - 1)
 ALL = np.uint32(0xFFFFFFFF)
 LOW16 = np.uint64(0xFFFF)
@@ -94,20 +96,29 @@ class RunIndex:
         inner = np.ones(total, bool)
         inner[ends] = False
         # Each fragment has an end of its own (0 here); ends stand before all bytes, in order of the fragments.
-        text = np.zeros(total, np.uint64)
-        text[inner] = body.astype(np.uint64) + np.uint64(1)
-        remain = np.repeat(ends, sizes + 1) - np.arange(total)
+        # A shard is far smaller than 2**31 bytes, so places take 32 bits and symbols 16.
+        text = np.zeros(total, np.uint16)
+        text[inner] = body
+        text[inner] += np.uint16(1)
+        remain = np.repeat(ends.astype(np.int32), sizes + 1)
+        remain -= np.arange(total, dtype=np.int32)
+        remain = remain.astype(np.int16)
         order = self._suffixes(text, remain)
-        owner = np.repeat(np.arange(count), sizes + 1)
-        before = np.where(order > 0, text[order - 1].astype(np.int64) - 1, -1)
+        # The text ends with an end, which is also what stands before its first place.
+        before = text[order - 1].astype(np.int16) - np.int16(1)
         # Neighbours with the same window form an interval; runs end at its borders too.
         full = remain[order] >= length
         same = full[1:] & full[:-1]
-        plain = np.concatenate([np.where(inner, text - np.uint64(1), np.uint64(0)).astype(np.uint8), np.zeros(8, np.uint8)])
+        del text, remain, full
+        plain = np.zeros(total + 8, np.uint8)
+        plain[:total][inner] = body
         at = np.ndarray((total + 1,), "<u8", plain, strides=(1,))
-        for k in [*range(0, length - 8, 8), length - 8]:
-            near = np.flatnonzero(same)
-            same[near] = at[order[near] + k] == at[order[near + 1] + k]
+        for low in range(0, len(same), PART):
+            part = same[low : low + PART]
+            for k in [*range(0, length - 8, 8), length - 8]:
+                near = np.flatnonzero(part)
+                part[near] = at[order[low + near] + k] == at[order[low + near + 1] + k]
+        del plain, at, inner
         cut = np.ones(total, bool)
         cut[1:] = ~same
         run = cut.copy()
@@ -119,9 +130,10 @@ class RunIndex:
         self.words, self.ahead = words, np.cumsum(ones) - ones
         head = before[self.run_start]
         run_size = np.diff(np.append(self.run_start, total))
-        doc_of = docs[owner[order]]
-        sample = np.minimum.reduceat(doc_of, self.run_start)
-        interval = np.cumsum(cut)[self.run_start] - 1
+        owner = np.repeat(np.arange(count, dtype=np.int32), sizes + 1)
+        sample = np.minimum.reduceat(docs[owner[order]], self.run_start)
+        del owner, order
+        interval = np.cumsum(cut, dtype=np.int32)[self.run_start] - 1
         least = np.minimum.reduceat(sample, np.flatnonzero(cut[self.run_start]))
         self.earliest = least[interval]
         # LF of a run's first place: places of smaller symbols, then of equal ones in earlier runs.
@@ -136,36 +148,45 @@ class RunIndex:
     def _suffixes(text: np.ndarray, remain: np.ndarray) -> np.ndarray:
         """Suffix array by doubling from seven symbols on; only suffixes that are still equal are ordered again."""
         n, width = len(text), 7
-        padded = np.concatenate([text, np.zeros(width, np.uint64)])
+        padded = np.concatenate([text, np.zeros(width, np.uint16)])
         key = np.zeros(n, np.uint64)
         for j in range(width):
-            key = key << np.uint64(9) | padded[j : j + n]
+            key <<= np.uint64(9)
+            key |= padded[j : j + n]
         # Nothing counts behind a fragment's end.
-        behind = (9 * np.maximum(width - 1 - remain, 0)).astype(np.uint64)
-        key = key >> behind << behind
-        order = np.argsort(key)
+        near = np.flatnonzero(remain < width - 1)
+        behind = (9 * (width - 1 - remain[near])).astype(np.uint64)
+        key[near] = key[near] >> behind << behind
+        del padded, near, behind
+        order = np.argsort(key).astype(np.int32)
         key = key[order]
         new = np.ones(n, bool)
         new[1:] = key[1:] != key[:-1]
-        begin = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        del key
+        begin = np.where(new, np.arange(n, dtype=np.int32), np.int32(0))
+        np.maximum.accumulate(begin, out=begin)
         # Suffixes that end within the key differ by their ends alone.
         short = np.flatnonzero(remain[order] < width)
         ended = order[short]
-        order[short] = ended[np.argsort(begin[short] * n + ended)]
+        order[short] = ended[np.argsort(begin[short].astype(np.int64) * n + ended)]
         new[short] = True
         begin[short] = short
-        rank = np.empty(n, np.int64)
+        del short, ended
+        rank = np.empty(n, np.int32)
         rank[order] = begin
-        slots = np.flatnonzero(~(new & np.append(new[1:], True)))
+        del begin
+        slots = np.flatnonzero(~(new & np.append(new[1:], True))).astype(np.int32)
         while len(slots):
             tied = order[slots]
-            pair = rank[tied] * (n + 1) + rank[tied + width]
+            pair = rank[tied].astype(np.int64)
+            pair *= n + 1
+            pair += rank[tied + width]
             by = np.argsort(pair)
             pair, tied = pair[by], tied[by]
             new = np.ones(len(slots), bool)
             new[1:] = pair[1:] != pair[:-1]
             order[slots] = tied
-            rank[tied] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
+            rank[tied] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots), dtype=np.int32), np.int32(0)))]
             slots = slots[~(new & np.append(new[1:], True))]
             width *= 2
         return order
@@ -194,6 +215,19 @@ class RunIndex:
         return out
 
 
+def cut_out(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes raw[starts[i] : starts[i] + sizes[i]] of all i, one after the other."""
+    out = np.empty(int(sizes.sum()), np.uint8)
+    ends = np.cumsum(sizes)
+    low = 0
+    while low < len(sizes):
+        upto = max(int(np.searchsorted(ends, ends[low] + PART)), low + 1)
+        some = slice(low, upto)
+        out[ends[low] - sizes[low] : ends[upto - 1]] = raw[gather(starts[some], sizes[some])]
+        low = upto
+    return out
+
+
 def early_windows(keys: np.ndarray, body: np.ndarray, sizes: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """For each fragment the bits of its windows that a smaller document of the shard has."""
     if not len(sizes):
@@ -203,6 +237,7 @@ def early_windows(keys: np.ndarray, body: np.ndarray, sizes: np.ndarray, docs: n
     order = np.lexsort((docs, tag, h))
     new = np.ones(len(order), bool)
     new[1:] = (h[order[1:]] != h[order[:-1]]) | (tag[order[1:]] != tag[order[:-1]])
+    del h, tag
     group = np.cumsum(new) - 1
     distinct = order[new]
     least = docs[distinct]
@@ -211,9 +246,10 @@ def early_windows(keys: np.ndarray, body: np.ndarray, sizes: np.ndarray, docs: n
     _, key_at, often = np.unique(keys[distinct], return_inverse=True, return_counts=True)
     chosen = np.flatnonzero(often[key_at] > 1)
     if len(chosen):
+        del key_at, often
         chosen = chosen[np.argsort(least[chosen], kind="stable")]
         own = distinct[chosen]
-        index = RunIndex(body[gather(starts[own], sizes[own])], sizes[own], least[chosen], length)
+        index = RunIndex(cut_out(body, starts[own], sizes[own]), sizes[own], least[chosen], length)
         marks[chosen] = index.early()
     out = np.empty(len(order), np.uint32)
     out[order] = np.where(docs[order] > least[group], ALL, marks[group])
@@ -375,12 +411,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         )
 
     def judge(table: pa.Table) -> pa.Table:
-        lists = {k: [_unzip(x, t) for x in table.column(k).to_pylist()] for k, t in (("keys", np.uint64), ("ids", np.int64), ("body", np.uint8), ("places", np.uint32), ("alone", bool))}
+        def column(name: str, kind) -> np.ndarray:
+            return np.concatenate([_unzip(x, kind) for x in table.column(name).to_pylist()])
+
         sizes = [unpack_small(x).astype(np.int64) for x in table.column("size").to_pylist()]
         every = np.concatenate(sizes)
-        keys, ids, alone = (np.concatenate(lists[k]) for k in ("keys", "ids", "alone"))
+        keys, ids, alone = column("keys", np.uint64), column("ids", np.int64), column("alone", bool)
         marks = np.zeros(len(every), np.uint32)
-        marks[~alone] = early_windows(keys[~alone], np.concatenate(lists["body"]), every[~alone], ids[~alone], length)
+        marks[~alone] = early_windows(keys[~alone], column("body", np.uint8), every[~alone], ids[~alone], length)
         _, at = np.unique(keys[alone], return_inverse=True)
         least = np.full(int(at.max(initial=-1)) + 1, LAST)
         np.minimum.at(least, at, ids[alone])
@@ -388,9 +426,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         marks &= _bits(every - length + 1)
         split_marks = np.split(marks, np.cumsum([len(s) for s in sizes])[:-1])
         out_places, out_marks = [], []
-        for p, m in zip(lists["places"], split_marks):
-            out_places.append(_zip(p[m > 0]))
+        for blob, m in zip(table.column("places").to_pylist(), split_marks):
+            out_places.append(_zip(_unzip(blob, np.uint32)[m > 0]))
             out_marks.append(_zip(m[m > 0]))
+        del keys, ids, alone, every, sizes, marks, split_marks
+        give_back()
         return pa.table(
             {
                 "chunk": table.column("chunk"),
