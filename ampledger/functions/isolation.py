@@ -12,6 +12,12 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def check_sample(h: pd.Series, size: int, keys: list[str]) -> None:
+    """Raise where the sample of a tree shows that the keys repeat."""
+    if len(h) != size or 2 * h.nunique() < size:
+        raise ValueError(f"columns {keys} do not tell the rows apart; sampling needs a unique key")
+
+
 def expected_path(n: int) -> float:
     """Mean path length of an unsuccessful search among n points: 2 H(n-1) - 2 (n-1)/n."""
     if n <= 2:

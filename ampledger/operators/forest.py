@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ampledger.functions.isolation import expected_path, grow_tree, path_lengths
+from ampledger.functions.isolation import check_sample, expected_path, grow_tree, path_lengths
 from ampledger.operators.ordering import GATHER_ROWS, exact_quantile, row_hash
 from ampledger.operators.scaling import Scaler
 from ampledger.schema import CONTAMINATION, SENSOR_COLS
@@ -78,11 +78,6 @@ def _subsamples(df: DataFrame, cols: list[str], keys: list[str], trees: int, siz
     return dealt.withColumn("tree", F.floor(F.col("_place") / size).cast("int")).drop("_place")
 
 
-def _check_sample(h: pd.Series, size: int, keys: list[str]) -> None:
-    if len(h) != size or 2 * h.nunique() < size:
-        raise ValueError(f"columns {keys} do not tell the rows apart; sampling needs a unique key")
-
-
 def fit_isolation_forest(
     df: DataFrame,
     cols: list[str] = SENSOR_COLS,
@@ -101,7 +96,7 @@ def fit_isolation_forest(
     sample = _subsamples(df, cols, keys, trees, size, seed, n)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        _check_sample(pdf["h"], size, keys)
+        check_sample(pdf["h"], size, keys)
         pdf = pdf.sort_values(["h", *cols])
         return grow_tree(pdf[cols].to_numpy(dtype=float), int(pdf["tree"].iloc[0]), seed)
 
