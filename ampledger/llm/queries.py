@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampledger.llm import decontaminate, jaccard, language, licenses, lm, pieces, quality, repeats, tokenfiles, urls
+from ampledger.llm import decontaminate, dialogue, jaccard, language, licenses, lm, pieces, quality, repeats, runs, tokenfiles, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = dialogue.damage(table(spark, sf_dir, "conversations"))
+    repaired = dialogue.repair_conversations(damaged, present=F.col("here"))
+    rows = F.transform("repaired", lambda r: F.concat(r["role"], F.lit(":"), r["text"]))
+    digest = F.sha2(F.array_join(rows, "\n").cast("binary"), 256)
+    return repaired.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", digest.alias("repaired_sha256"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(runs.plant_runs(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        "start",
+        "length",
+        "period",
+        "exponent_milli",
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
