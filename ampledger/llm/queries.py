@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampledger.llm import decontaminate, dialogue, jaccard, language, licenses, lm, pieces, quality, repeats, runs, tokenfiles, urls
+from ampledger.llm import decontaminate, dialogue, jaccard, language, licenses, lm, oddsketch, pieces, quality, repeats, runs, tokenfiles, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +120,8 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query("op12_odd_sketches")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oddsketch.near_duplicate_components(table(spark, sf_dir, "documents"))
