@@ -64,14 +64,18 @@ def write_report_csv(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def stage(df: DataFrame, mode: str = "parquet") -> DataFrame:
-    """Materialise between steps: in the shared folder, in executor memory or disk, or not at all."""
+def stage(df: DataFrame, mode: str = "parquet", outlive: bool = False) -> DataFrame:
+    """Materialise between steps: in the shared folder, in executor memory or disk, or not at all.
+
+    A table in the shared folder belongs to the open :func:`~ampledger.session.staging`
+    scope, or with ``outlive`` to the one around it.
+    """
     if mode == "none":
         return df
     if mode == "persist":
         return df.persist()
     if mode == "parquet":
-        path = scratch_path(df.sparkSession, "stage")
+        path = scratch_path(df.sparkSession, "stage", outlive)
         df.write.parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
     raise ValueError(f"unknown stage mode {mode!r}")
