@@ -7,8 +7,10 @@ the XOR of two bitmaps counts what the samples do not share.
 
 Not all pairs of a bucket are looked at. Every member is compared with one
 leader first, then with the bucket's two ends where these are still in other
-components; only members that remain outside their bucket's largest component are then compared with
-the rest. A pair that is passed over joins nothing that isn't joined already.
+components. Only members that remain outside their bucket's largest component
+meet the rest then, in blocks of bounded size, and only edges that join
+something leave a task. A pair that is passed over joins nothing that isn't
+joined already.
 """
 
 from __future__ import annotations
@@ -39,8 +41,10 @@ BITS = 512
 LIMBS = [f"s{i}" for i in range(BITS // 64)]
 #: Standard deviations below the threshold at which an estimate still lets a pair pass.
 SLACK = 5
-#: Members of a bucket that a member outside its largest component meets at a time.
-BLOCK = 1_024
+#: Members of a bucket that meet as many members outside its largest component in one group.
+BLOCK = 512
+#: Rows that a task compares at a time, about.
+BIN_ROWS = 2_048
 
 
 def odd_sketches(values: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -183,17 +187,14 @@ def _near_duplicate_components(docs: DataFrame, id_col: str, text_col: str, word
     labels = labelled(edges)
     # Buckets of three have met all pairs by now. In the others, members outside the largest component meet the rest.
     named = met.filter("n > 3").join(labels.withColumnRenamed("node", "c"), "c", "left").select("g", "c", "n", F.coalesce("label", "c").alias("label"))
-    per_label = named.groupBy("g", "label").agg(F.count("*").alias("m"), F.max("n").alias("n"))
-    mixed = per_label.groupBy("g").agg(F.max("n").alias("n"), F.count("*").alias("k"), F.max_by("label", F.struct("m", "label")).alias("main"))
-    open_ = stage(named.drop("n").join(mixed.filter("k > 1"), "g").join(sketches, "c"), "open")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    homes = open_.select("g", F.pmod(F.xxhash64("c"), blocks).cast("int").alias("block"), F.struct("c", "label", "sketch.*").alias("y"))
-    visitors = open_.filter("label <> main").select("g", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.struct("c", "label", "sketch.*").alias("x"))
-    near = visitors.join(homes, ["g", "block"]).filter((F.col("x.label") != F.col("y.label")) & _may_link("x", "y", percent))
-    pairs = near.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
-    rest = confirmed(pairs)
-    if rest.limit(1).count():
-        labels = labelled(edges.union(rest))
+    per_label = named.groupBy("g", "label").agg(F.count("*").alias("m"))
+    mixed = per_label.groupBy("g").agg(F.count("*").alias("k"), (F.sum("m") - F.max("m")).alias("rest"), F.max_by("label", F.struct("m", "label")).alias("main"))
+    open_ = stage(named.join(mixed.filter("k > 1").drop("k"), "g").withColumn("out", F.col("label") != F.col("main")).drop("main"), "open")
+    total = open_.count()
+    if total:
+        payload = classes.select("c", "size", "bands", F.array(*LIMBS).alias("limbs")).join(sets, "c")
+        rest = _meet(open_.join(payload, "c"), total, percent)
+        labels = labelled(edges.union(stage(rest, "edges")))
 
     inside = labels.select(F.col("node").alias("c"), "label").join(classes.select("c", "id"), "c")
     least = stage(inside.groupBy("label").agg(F.min("id").alias("component_id")), "least")
@@ -208,6 +209,63 @@ def _near_duplicate_components(docs: DataFrame, id_col: str, text_col: str, word
     return stage(result, "components", outlive=True)
 
 
+def _meet(members: DataFrame, total: int, percent: int) -> DataFrame:
+    """Edges (a, b) between members (``out``: outside their bucket's largest component) and all others of the bucket.
+
+    Of ``n`` members ``rest`` are outside; these are dealt to n / BLOCK blocks,
+    and each member to rest / BLOCK. A pair is compared where it meets first.
+    """
+    homes, guests = (F.ceil(F.col(x) / BLOCK).cast("int") for x in ("n", "rest"))
+    home, guest = (F.pmod(F.xxhash64("c", F.lit(k)), blocks).cast("int") for k, blocks in ((1, homes), (2, guests)))
+    as_home = members.withColumn("guest", F.explode(F.sequence(F.lit(0), guests - 1))).withColumns({"home": home, "calls": F.lit(False)})
+    as_guest = members.filter("out").withColumn("home", F.explode(F.sequence(F.lit(0), homes - 1))).withColumns({"guest": guest, "calls": F.lit(True)})
+    dealt = as_home.unionByName(as_guest).drop("n", "rest")
+    bins = max(4 * int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BIN_ROWS)
+    dealt = dealt.withColumn("bin", F.pmod(F.xxhash64("g", "home", "guest"), F.lit(bins)))
+    limit = most_ones(percent / 100)
+
+    def compare(table: pa.Table) -> pa.Table:
+        t = {n: table.column(n).to_numpy() for n in ("g", "home", "guest", "c", "label", "size", "out", "calls")}
+        wide = len(table.column("bands")[0])
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, wide)
+        limbs = table.column("limbs").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, len(LIMBS))
+        codes = table.column("codes")
+        order = np.lexsort((t["calls"], t["guest"], t["home"], t["g"]))
+        groups = np.stack([t["g"], t["home"], t["guest"]])[:, order]
+        cuts = np.flatnonzero(np.concatenate([[True], (groups[:, 1:] != groups[:, :-1]).any(axis=0), [True]]))
+        edges: list[tuple[int, int]] = []
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            own = order[low:high]
+            at_home, callers = own[~t["calls"][own]], own[t["calls"][own]]
+            over = {int(x): int(x) for x in t["label"][own]}
+
+            def root(x: int) -> int:
+                while over[x] != x:
+                    x = over[x]
+                return x
+
+            unpacked: dict[int, np.ndarray] = {}
+            for i in callers:
+                band = int(np.flatnonzero(bands[i] == t["g"][i])[0])
+                ones = np.bitwise_count(limbs[at_home] ^ limbs[i]).sum(axis=1)
+                sizes = t["size"][at_home]
+                near = (ones <= limit) & (100 * np.minimum(sizes, t["size"][i]) >= percent * np.maximum(sizes, t["size"][i]))
+                # Two members outside meet twice; one of the times counts, and only in the first band that they share.
+                near &= (t["label"][at_home] != t["label"][i]) & (~t["out"][at_home] | (t["c"][at_home] > t["c"][i]))
+                some = at_home[near]
+                some = some[(bands[some] == bands[i]).argmax(axis=1) == band]
+                for j in some:
+                    x, y = root(int(t["label"][i])), root(int(t["label"][j]))
+                    if x != y and _alike(*(unpacked.setdefault(int(k), unpack(codes[int(k)].as_py())) for k in (i, j)), percent):
+                        over[max(x, y)] = min(x, y)
+                        edges.append((int(t["c"][i]), int(t["c"][j])))
+        give_back()
+        a, b = zip(*edges) if edges else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("bin").applyInArrow(compare, "a long, b long")
+
+
 def _full_sets(source: DataFrame, wanted: Membership, words: int) -> DataFrame:
     """Set keys and packed shingle sets of the texts whose id may be a wanted one."""
 
@@ -224,6 +282,14 @@ def _full_sets(source: DataFrame, wanted: Membership, words: int) -> DataFrame:
     return source.select(F.xxhash64("id").alias("h"), "text").mapInArrow(run, "c long, codes binary")
 
 
+def _alike(first: np.ndarray, second: np.ndarray, percent: int) -> bool:
+    """Whether the intersection of two sorted sets has that share of their union."""
+    short, long = (first, second) if len(first) < len(second) else (second, first)
+    at = np.searchsorted(long, short)
+    both = int((long[np.minimum(at, len(long) - 1)] == short).sum())
+    return 100 * both >= percent * (len(first) + len(second) - both)
+
+
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs whose full sets are similar enough."""
     for b in batches:
@@ -233,10 +299,6 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             blob = p.as_py()
             if blob != last:
                 last, first = blob, unpack(blob)
-            second = unpack(q.as_py())
-            short, long = (first, second) if len(first) < len(second) else (second, first)
-            at = np.searchsorted(long, short)
-            both = int((long[np.minimum(at, len(long) - 1)] == short).sum())
-            keep[i] = 100 * both >= percent * (len(first) + len(second) - both)
+            keep[i] = _alike(first, unpack(q.as_py()), percent)
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep))
     give_back()
