@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from ampledger.llm.arrays import GOLDEN, LOWER, SPACE, give_back, mix, ngrams, pack, text_bytes, unpack, word_hashes
 from ampledger.llm.components import components
+from ampledger.llm.membership import membership
 from ampledger.llm.scratch import stage
+from ampledger.session import staging
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -175,6 +177,11 @@ def near_duplicates(
     Links of equal sets are certain; others are met with a probability of at
     least ``target`` at the threshold, and more above. Every link is exact.
     """
+    with staging(docs.sparkSession):
+        return stage(_near_duplicates(docs, id_col, text_col, words, threshold, target), "near_duplicates", outlive=True)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, words: int, threshold: float, target: float) -> DataFrame:
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[id_col].dataType.simpleString()
@@ -275,16 +282,17 @@ def near_duplicates(
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                codes, offsets = shingle_sets(whole.slice(at, 500).column(0), words)
+            some = whole.filter(pa.array(wanted.maybe(whole.column(0).to_numpy())))
+            for at in range(0, some.num_rows, 500):
+                codes, offsets = shingle_sets(some.slice(at, 500).column(1), words)
                 c, _ = set_keys(codes, offsets)
                 blobs = [pack(codes[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)), pa.array(blobs, pa.binary())], ["c", "codes"])
         give_back()
 
-    wanted = members.select(F.col("id").alias("wanted")).distinct()
-    texts = source.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-    coded = texts.mapInArrow(sets, "c long, codes binary")
+    # Texts are not shuffled to find those of the members: most others stop here, the join by c drops the rest.
+    wanted = membership(members.select(F.xxhash64("id").alias("h")))
+    coded = source.select(F.xxhash64("id").alias("h"), "text").mapInArrow(sets, "c long, codes binary")
     total = members.count()
 
     def compare_sets(table: pa.Table) -> pa.Table:
