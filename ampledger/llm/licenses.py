@@ -32,7 +32,8 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
 }
 
-#: Words in a print, and prints of which the smallest is kept: a run of K + WINDOW - 1 equal words always meets.
+#: Words in a print, and prints of which the smallest is kept: a run of K + WINDOW - 1 equal words of a text always
+#: meets, and so does a text of K words.
 K = 3
 WINDOW = 2
 #: Words that an alignment may leave its diagonal by.
@@ -48,12 +49,23 @@ def _tokens(raw: np.ndarray, offsets: np.ndarray):
     return word_keys(low, starts, ends)[0], starts, ends, np.searchsorted(starts, offsets)
 
 
-def winnow(codes: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Places of the smallest of each ``window`` neighbours, the last one among equals."""
-    if len(codes) <= window:
-        return np.array([len(codes) - 1 - int(codes[::-1].argmin())]) if len(codes) else np.zeros(0, np.int64)
+def winnow(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """Places of the smallest of each ``window`` neighbours, the last one among equals.
+
+    Neighbours are prints of one text: places begins[i] to ends[i] - 1. A text
+    with fewer prints than a window keeps its smallest.
+    """
+    few = np.flatnonzero((ends > begins) & (ends - begins < window))
+    short = [ends[i] - 1 - int(codes[begins[i] : ends[i]][::-1].argmin()) for i in few]
+    if len(codes) < window:
+        return np.array(sorted(short), np.int64)
     back = sliding_window_view(codes, window)[:, ::-1].argmin(axis=1)
-    return np.unique(np.arange(len(back)) + window - 1 - back)
+    open_ = np.zeros(len(codes) + 1, np.int64)
+    long = ends - begins >= window
+    np.add.at(open_, begins[long], 1)
+    np.add.at(open_, ends[long] - window + 1, -1)
+    inside = np.flatnonzero(np.cumsum(open_)[: len(back)])
+    return np.unique(np.concatenate([inside + window - 1 - back[inside], np.array(short, np.int64)]))
 
 
 def align(doc: np.ndarray, template: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
@@ -99,7 +111,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col
     matches. A template may match several times in a document, and spans of
     different templates may overlap. Null and empty texts, and templates
     without a word, match nothing. Repeated rows each give their matches;
-    a null id is kept; other columns are ignored. Templates shorter than a
+    a null id is kept; other columns are ignored. A text's matches depend on it
+    alone, whatever rows stand beside it. Templates shorter than a
     print match by their whole wording.
     """
     names = sorted(templates)
@@ -145,8 +158,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col
                 hits: dict[int, list[tuple[int, int, int]]] = {}
                 for n in sizes:
                     codes = ngrams(words, n)
-                    # A print is kept within its neighbours in the batch; prints across texts are passed over below.
-                    kept = winnow(codes) if n == K else np.arange(len(codes))
+                    kept = winnow(codes, per_text[:-1], np.maximum(per_text[1:] - K + 1, per_text[:-1])) if n == K else np.arange(len(codes))
                     spot = np.searchsorted(keys[n], codes[kept])
                     spot[spot == len(keys[n])] = 0
                     kept = kept[keys[n][spot] == codes[kept]]

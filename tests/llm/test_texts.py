@@ -169,6 +169,48 @@ def test_licenses(spark, none):
         licenses.scan_licenses(docs, {"x": "a " * (licenses.MAX_TEMPLATE_WORDS + 1)})
 
 
+def test_a_text_matches_alike_in_any_batch(spark):
+    rnd = random.Random(8)
+    words = [w for t in licenses.TEMPLATES.values() for w in t.split()]
+    texts = [" ".join(licenses.TEMPLATES[rnd.choice(sorted(licenses.TEMPLATES))].split()[: rnd.randrange(1, 60)] + [rnd.choice(words) for _ in range(rnd.randrange(4))]) for _ in range(60)]
+    texts += [None, "", "the MIT License", "the MIT", texts[0], texts[0]]
+
+    def scanned(order):
+        docs = spark.createDataFrame([(i, texts[i]) for i in order], "doc_id long, text string").coalesce(1)
+        return sorted(tuple(r) for r in licenses.scan_licenses(docs).collect())
+
+    order = list(range(len(texts)))
+    whole = scanned(order)
+    rnd.shuffle(order)
+    assert whole and scanned(order) == whole
+    alone = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(len(texts), "doc_id")
+    assert sorted(tuple(r) for i in range(0, 60, 7) for r in licenses.scan_licenses(alone.filter(F.col("doc_id") == i)).collect()) == [x for x in whole if x[0] % 7 == 0 and x[0] < 60]
+    null_ids = spark.createDataFrame([(None, licenses.TEMPLATES["MIT"])] * 2, "doc_id long, text string")
+    assert [tuple(r)[:2] for r in licenses.scan_licenses(null_ids).collect()] == [(None, "MIT")] * 2
+
+
+def test_prints_are_kept_within_texts():
+    rng = np.random.default_rng(4)
+    for window in (2, 4):
+        sizes = rng.integers(0, 9, 50)
+        codes = rng.integers(0, 6, sizes.sum()).astype(np.uint64)
+        ends = np.cumsum(sizes)
+        want = set()
+        for a, b in zip(ends - sizes, ends):
+            for k in range(a, max(b - window + 1, a + (b > a))):
+                part = codes[k : min(k + window, b)]
+                want.add(int(k + max(i for i in range(len(part)) if part[i] == part.min())))
+        assert licenses.winnow(codes, ends - sizes, ends, window).tolist() == sorted(want)
+
+
+def test_too_many_languages_are_refused(spark):
+    rows = [(i, " ".join("word%d" % (k % 40) for k in range(30 + i % 3)), "l%03d" % i) for i in range(quality.MAX_LANGUAGES + 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        quality.judge_quality(docs)
+    assert quality.judge_quality(docs.limit(quality.MAX_LANGUAGES)).count() == quality.MAX_LANGUAGES
+
+
 def test_url_rules_and_model(spark):
     rows = [
         (1, "https://WWW.Example.NET/en/1?x=/de/"), (2, "http://example.net/de/1"), (3, "https://a.example.com/de/x"), (4, "ftp://b.org/fr/#t"),
