@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampledger.llm.arrays import pack_small, text_bytes, unpack_small
+from ampledger.llm.arrays import give_back, pack_small, text_bytes, unpack_small
 from ampledger.llm.decontaminate import pieces_of
 from ampledger.llm.scratch import stage
 
@@ -43,6 +43,7 @@ def pack_chunks(rows: DataFrame, chunk_bytes: int) -> DataFrame:
                     ],
                     ["keys", "flags", "sizes", "body"],
                 )
+        give_back()
 
     packed = rows.select("key", "text", "flag").mapInArrow(run, f"keys array<{kind}>, flags array<{mark}>, sizes binary, body binary")
     return stage(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampledger.llm.arrays import LOWER, NOT_ALNUM, gather, pack, pack_small, text_bytes, unpack, unpack_small, word_hashes
+from ampledger.llm.arrays import LOWER, NOT_ALNUM, gather, give_back, pack, pack_small, text_bytes, unpack, unpack_small, word_hashes
 from ampledger.llm.scratch import stage
 
 #: Fixed values of the contract: words of a window, and the share of hit words (1 in 20) that contaminates.
@@ -65,6 +65,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keys = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0))
                 row = [pack(offsets), pack(terms), pack(first), pack_small(np.diff(order, prepend=0).astype(np.int32).view(np.uint32))]
                 yield pa.RecordBatch.from_arrays([keys, *(pa.array([x], pa.binary()) for x in row)], ["keys", "word_offsets", "terms", "term_offsets", "positions"])
+        give_back()
 
     schema = f"keys array<{key}>, word_offsets binary, terms binary, term_offsets binary, positions binary"
     # Each segment keeps its number once the index is stored.

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ampledger.llm.arrays import text_bytes, worker_cache
+from ampledger.llm.arrays import give_back, text_bytes, worker_cache
 
 UNDETERMINED = "und"
 #: The labelled sample that a dictionary is made of: rows and characters of each, per language.
@@ -115,6 +115,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_col: str = "t
                 [*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                 [*columns, *names],
             )
+        give_back()
 
     return rest.mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")
 

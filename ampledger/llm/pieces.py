@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from ampledger.llm.arrays import gather, text_bytes, worker_cache
+from ampledger.llm.arrays import gather, give_back, text_bytes, worker_cache
 from ampledger.llm.wordcache import WordCache, coded_words
 
 MARK = "▁"
@@ -305,3 +305,4 @@ def _coded(batches: Iterator[pa.RecordBatch], model_file: str, verify: bool):
             full[inner] = flat
             full[bounds[:-1]], full[bounds[1:] - 1] = begin, end
             yield batch.column(0), full, bounds, pieces
+    give_back()

@@ -323,6 +323,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     ],
                     ["bucket", "chunk", "grams", "counts", "texts", "ids"],
                 )
+        give_back()
 
     def tell(table: pa.Table) -> pa.Table:
         keys = [unpack(x) for x in table.column("grams").to_pylist()]
@@ -337,6 +338,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         least = np.full(int(at.max(initial=-1)) + 1, LAST)
         np.minimum.at(least, at, np.concatenate(ids))
         firsts = np.split(least[at], np.cumsum([len(t) for t in texts])[:-1])
+        del keys, counts, distinct, at, total, state, texts, ids, least
+        give_back()
         return pa.table(
             {
                 "chunk": table.column("chunk"),
@@ -401,6 +404,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         done_marks = np.concatenate([_bits(n[settled]), _bits(count[copy[doc]])])
         out = {k: pa.array(v, kinds.get(k, pa.binary())) for k, v in table.items()}
         rest = [b""] * (buckets - 1)
+        del raw, begins, count, least, doc, h, tag, order, new, leader, later, table
+        give_back()
         return pa.table(
             {
                 "chunk": pa.array([row["chunk"]] * buckets, pa.int64()),
@@ -463,6 +468,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         first[edges] = gone[edges]
         upto, spans = (np.concatenate([np.zeros(1, np.int64), np.cumsum(x)]) for x in (gone, first))
         kept = [raw[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+        del cover, gone, first, starts, r, c, bits, raw
+        give_back()
         return pa.table(
             {
                 "key": own.column("keys").combine_chunks().flatten(),
