@@ -38,12 +38,15 @@ def cast_telemetry(df: DataFrame, strict: bool = False) -> DataFrame:
 def ensure_key(df: DataFrame, key: str = "event_id") -> DataFrame:
     """Add a row key where the table or a row has none: a hash of the row, the tie-breaker of equal timestamps.
 
-    Exact copies share it, and may then take each other's place.
+    Exact copies share it, and may then take each other's place. A key that
+    isn't an integer is replaced by its hash.
     """
     others = [c for c in df.columns if c != key]
     hashed = F.xxhash64(*others)
     if key not in df.columns:
         return df.withColumn(key, hashed)
+    if not isinstance(df.schema[key].dataType, T.IntegralType):
+        return df.withColumn(key, F.when(F.col(key).isNull(), hashed).otherwise(F.xxhash64(key)))
     return df.withColumn(key, F.coalesce(F.col(key), hashed.cast(df.schema[key].dataType)))
 
 

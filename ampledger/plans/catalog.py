@@ -206,6 +206,71 @@ def scan_csv(spark, sf):
     return _all_columns(R.read_csv(spark, path))
 
 
+# One folder of three layouts: as declared; text time, long label and other types; and a table without key, place and label
+# whose time is named otherwise.
+_RAW_LAYOUT_SQL = """
+    select case when event_id % 3 = 2 then null else event_id end as event_id, vehicle_id, event_ts,
+           SENSORS, case when event_id % 3 = 2 then null else odometer_km end as odometer_km,
+           case when event_id % 3 = 2 then null else region end as region,
+           case when event_id % 3 = 2 then null else firmware_ver end as firmware_ver,
+           case when event_id % 3 = 2 then null else injected_anomaly end as injected_anomaly
+    from telemetry""".replace("SENSORS", ", ".join(SENSOR_COLS))
+
+
+@query("scan_parquet_raw_layout", f"{_ALL_SQL} from ({_RAW_LAYOUT_SQL}) t")
+def scan_parquet_raw_layout(spark, sf):
+    path = scratch_path(spark, "raw")
+    rows = telemetry(spark, sf)
+    third = lambda k: rows.filter(F.col("event_id") % 3 == k)
+    odd = {"event_ts": _ts_text(), "injected_anomaly": F.col("injected_anomaly").cast("long"), "odometer_km": F.col("odometer_km").cast("string")}
+    third(0).write.parquet(path)
+    third(1).withColumns(odd).write.mode("append").parquet(path)
+    third(2).select("vehicle_id", F.col("event_ts").cast("timestamp_ntz").alias("timestamp"), *SENSOR_COLS).write.mode("append").parquet(path)
+    return _all_columns(R.read_raw_telemetry(spark, path))
+
+
+def _csv_lines(rows: DataFrame, names: list[str], path: str) -> None:
+    """CSV text with a header in every file; a row's ``cells`` may be more or fewer than its names."""
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of its task
+    line = F.array_join("cells", ",")
+    rows.select(F.when(first, F.concat(F.lit(",".join(names) + "\n"), line)).otherwise(line).alias("value")).write.mode("append").text(path)
+
+
+_CSV_NAMES = [f.name for f in TELEMETRY_SCHEMA.fields]
+
+
+def _mixed_csv(spark, sf) -> str:
+    """Files of two header orders in one folder; some rows with a cell too few, too many, or unreadable."""
+    path = scratch_path(spark, "csv")
+    rows = telemetry(spark, sf).withColumn("event_ts", _ts_text())
+    cells = F.array(*(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _CSV_NAMES))
+    fault = F.col("event_id") % 50
+    speed = _CSV_NAMES.index("speed_kmh") + 1
+    spoilt = F.when(fault == 0, F.slice(cells, 1, len(_CSV_NAMES) - 2)).when(fault == 2, F.array_append(cells, F.lit("9")))
+    spoilt = spoilt.when(fault == 4, F.concat(F.slice(cells, 1, speed - 1), F.array(F.lit("fast")), F.slice(cells, speed + 1, len(_CSV_NAMES))))
+    even = rows.filter("event_id % 2 = 0").select(spoilt.otherwise(cells).alias("cells"))
+    _csv_lines(even, _CSV_NAMES, path)
+    _csv_lines(rows.filter("event_id % 2 = 1").select(F.reverse(cells).alias("cells")), _CSV_NAMES[::-1], path)
+    return path
+
+
+@query("scan_csv_mixed_headers", f"{_ALL_SQL.replace('round(speed_kmh, 6)', 'case when event_id % 50 <> 4 then round(speed_kmh, 6) end')} from telemetry where event_id % 50 not in (0, 2)")
+def scan_csv_mixed_headers(spark, sf):
+    return _all_columns(R.read_csv(spark, _mixed_csv(spark, sf)))
+
+
+@query(
+    "scan_csv_rejects",
+    """select event_id, vehicle_id, event_id % 50 <> 4 as ragged, case when event_id % 50 = 4 then 'fast' end as speed
+       from telemetry where event_id % 50 in (0, 2, 4)""",
+)
+def scan_csv_rejects(spark, sf):
+    bad = R.csv_rejects(spark, _mixed_csv(spark, sf))
+    ragged = F.col(R.RAGGED).isNotNull()
+    speed = F.when(~ragged, F.col("speed_kmh"))
+    return bad.select(F.col("event_id").cast("long").alias("event_id"), "vehicle_id", ragged.alias("ragged"), speed.alias("speed"))
+
+
 def _saved_table(spark, sf):
     path = scratch_path(spark, "processed")
     name = "telemetry_" + path.rsplit("-", 1)[1]

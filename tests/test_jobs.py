@@ -303,3 +303,41 @@ def test_text_tie_breaker_is_refused_at_any_size(spark, readings):
     rows = readings([{}]).withColumn("event_id", F.lit("e0"))
     with pytest.raises(TypeError):
         add_rolling(rows)
+
+
+def test_files_of_several_layouts_are_read_as_they_are(spark, tmp_path, sf_dir):
+    from ampledger.sources.fixture import telemetry
+
+    rows = telemetry(spark, sf_dir).limit(40)
+    path = str(tmp_path / "a folder")
+    for k in range(3):  # layouts that take turns
+        rows.write.mode("append").parquet(path)
+        rows.withColumn("event_ts", F.col("event_ts").cast("string")).withColumn("injected_anomaly", F.lit(1).cast("long")).drop("event_id").write.mode("append").parquet(path)
+    got = R.read_raw_telemetry(spark, path)
+    assert got.schema.simpleString() == TELEMETRY_SCHEMA.simpleString()
+    assert got.count() == 240 and got.filter("event_ts is null").count() == 0
+    assert got.filter("event_id is null and injected_anomaly = 1").count() == 120
+    bad = rows.withColumn("speed_kmh", F.lit("fast"))
+    bad.write.parquet(str(tmp_path / "text"))
+    assert R.read_raw_telemetry(spark, str(tmp_path / "text")).filter("speed_kmh is null").count() == 40
+    (tmp_path / "none").mkdir()
+    with pytest.raises(ValueError):
+        R.read_raw_telemetry(spark, str(tmp_path / "none"))
+
+
+def test_csv_files_bind_by_their_own_header(spark, tmp_path):
+    names = [f.name for f in TELEMETRY_SCHEMA if f.name != "event_id"]
+    text = {"vehicle_id": "VH_00001", "event_ts": "2024-01-01 00:09:58", "region": "US-CA", "firmware_ver": "v12.1", "injected_anomaly": "0", "speed_kmh": "80.5"}
+    for k, order in enumerate((names, names[::-1], names + ["extra"])):
+        line = ",".join(text.get(n, "1.0") for n in order)
+        (tmp_path / f"{k}.csv").write_text("\n".join([",".join(order), line, line.rsplit(",", 1)[0], line + ",more"]) + "\n")
+    got = R.read_csv(spark, str(tmp_path)).collect()
+    assert [(r["vehicle_id"], r["speed_kmh"], r["injected_anomaly"]) for r in got] == [("VH_00001", 80.5, 0)] * 3
+    assert R.csv_rejects(spark, str(tmp_path)).filter(F.col(R.RAGGED).isNotNull()).count() == 6
+
+
+def test_text_keys_are_hashed_by_the_jobs(spark, readings, tmp_path):
+    rows = readings([{"speed_kmh": float(i)} for i in range(40)]).withColumn("event_id", F.concat(F.lit("e"), "event_id"))
+    job = run_fleet_job(rows.withColumn("event_id", F.when(F.col("speed_kmh") > 3, F.col("event_id"))), str(tmp_path / "j"), fmt="parquet")
+    assert job.lake.select("event_id").distinct().count() == 40
+    assert dict(job.lake.dtypes)["event_id"] == "bigint"
