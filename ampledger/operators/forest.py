@@ -128,14 +128,20 @@ def fit_isolation_forest(
 
 
 def fit_transform(
-    df: DataFrame, scaler: Scaler, contamination: float = CONTAMINATION, keys: list[str] | None = None, **forest_args
+    df: DataFrame,
+    scaler: Scaler,
+    contamination: float = CONTAMINATION,
+    keys: list[str] | None = None,
+    rows: DataFrame | None = None,
+    **forest_args,
 ) -> DataFrame:
     """Grow the forest on scaled sensors, score every row once, store that, and flag from the stored scores.
 
-    Returns the stored table with anomaly_score and l1_iso_flag.
+    Returns the stored table with anomaly_score and l1_iso_flag. ``rows``: what
+    to score and store, if it is not ``df`` itself (more columns, an observed frame).
     """
     model = fit_isolation_forest(scaler.transform(df), keys=keys, contamination=None, **forest_args)
-    scored = stage(model.score(df, scaler), "parquet")
+    scored = stage(model.score(df if rows is None else rows, scaler), "parquet", outlive=True)
     return flag_scores(scored, exact_quantile(scored, -F.col("anomaly_score"), contamination))
 
 

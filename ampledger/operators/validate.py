@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ampledger.schema import REQUIRED_COLS, SENSOR_RANGES, TELEMETRY_SCHEMA
+from ampledger.schema import REQUIRED_COLS, SENSOR_COLS, SENSOR_RANGES, TELEMETRY_SCHEMA
 
 
 def validate_schema(df: DataFrame, required: list[str] = REQUIRED_COLS) -> DataFrame:
@@ -77,3 +77,30 @@ def add_violations(df: DataFrame, ranges: dict[str, tuple[float, float]] | None
     """Row variant: an array of the columns that are out of range."""
     names = F.array(*[F.when(out_of_range(c, b), F.lit(c)) for c, b in _present(df, ranges).items()])
     return df.withColumn("violations", F.filter(names, lambda name: name.isNotNull()))
+
+
+def observe_audit(df: DataFrame, cols: list[str] = SENSOR_COLS, ranges: dict[str, tuple[float, float]] | None = None) -> tuple[DataFrame, Observation]:
+    """The frame, and an observation that has its audit counts once an action has passed all rows: no pass of its own."""
+    seen = Observation("audit")
+    bounds = _present(df, ranges)
+    counts = [F.count(F.lit(1)).alias("n_records")]
+    for c in (c for c in cols if c in df.columns):
+        counts.append(F.count(F.when(_is_null(df, c), 1)).alias(f"{c} null_count"))
+        bad = out_of_range(c, bounds[c]) if c in bounds else F.lit(False)
+        counts.append(F.count(F.when(bad, 1)).alias(f"{c} out_of_range"))
+    return df.observe(seen, *counts), seen
+
+
+def audit_rows(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """One row per audited column from the counts of :func:`observe_audit`: column_name, n_records, null_count, out_of_range."""
+    names = [k.removesuffix(" null_count") for k in counts if k.endswith(" null_count")]
+    rows = [(c, counts["n_records"], counts[f"{c} null_count"], counts[f"{c} out_of_range"]) for c in names]
+    return spark.createDataFrame(rows, "column_name string, n_records long, null_count long, out_of_range long")
+
+
+def check_audit(counts: dict[str, int], limits: dict[str, float]) -> None:
+    """Raise where the share of a column's rows with a finding (``null_count``, ``out_of_range``) is above its limit."""
+    n = max(counts["n_records"], 1)
+    over = [f"{k} {v / n:.4f}" for k, v in counts.items() if v / n > limits.get(k.rsplit(" ", 1)[-1], 1.0) and k != "n_records"]
+    if over:
+        raise ValueError(f"the audit is over its limits: {', '.join(over)}")

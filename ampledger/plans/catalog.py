@@ -1272,6 +1272,31 @@ def daily_anomaly_run(spark, sf):
     return run_daily(telemetry(spark, sf), RUN_DATE, scratch_path(spark, "daily")).scored.select(*_RUN_COLS)
 
 
+def _audit_sql() -> str:
+    parts = []
+    for c in SENSOR_COLS:
+        low, high = SENSOR_RANGES.get(c, (None, None))
+        bad = f"{c} < {low} or {c} > {high}" if low is not None else "false"
+        parts.append(
+            f"select '{c}' as column_name, count(*) as n_records, count(*) - count({c}) as null_count, "
+            f"cast(coalesce(sum(case when {bad} then 1 else 0 end), 0) as bigint) as out_of_range from gapped"
+        )
+    return " union all ".join(parts)
+
+
+@query(
+    "daily_audits",
+    f"""select * from (with gapped as (select * replace (case when event_id % 11 <> 0 then speed_kmh end as speed_kmh,
+        case when event_id % 13 = 0 then 999 else voltage_v end as voltage_v) from telemetry) {_audit_sql()}) audits""",
+)
+def daily_audits(spark, sf):
+    gapped = {
+        "speed_kmh": F.when(F.col("event_id") % 11 != 0, F.col("speed_kmh")),
+        "voltage_v": F.when(F.col("event_id") % 13 == 0, F.lit(999.0)).otherwise(F.col("voltage_v")),
+    }
+    return run_daily(telemetry(spark, sf).withColumns(gapped), RUN_DATE, scratch_path(spark, "daily")).audits
+
+
 @query("daily_anomaly_run_layers")
 def daily_anomaly_run_layers(spark, sf):
     """All three layers and the majority vote."""

@@ -15,8 +15,9 @@ from ampledger.operators.layers import LayerModel, ensemble_vote
 from ampledger.operators.metrics import log_runs, run_row
 from ampledger.operators.scaling import fit_scaler
 from ampledger.operators.series import add_rolling
-from ampledger.operators.validate import null_audit, range_audit, validate_schema
+from ampledger.operators.validate import audit_rows, check_audit, null_audit, observe_audit, range_audit, validate_schema
 from ampledger.schema import CONTAMINATION, DRIFT_COLS, SENSOR_COLS
+from ampledger.session import staging
 from ampledger.sources.sinks import write_anomalies, write_kpis, write_lake, write_report_csv
 
 
@@ -38,8 +39,9 @@ class FleetJob:
 def run_fleet_job(df: DataFrame, out: str, fmt: str = "auto", **series_args) -> FleetJob:
     """Process once into the lake; every later result reads the lake's few columns it needs."""
     spark = df.sparkSession
-    processed = process(df, **series_args)
-    path, used = write_lake(processed, f"{out}/telemetry", fmt=fmt)
+    with staging(spark):
+        processed = process(df, **series_args)
+        path, used = write_lake(processed, f"{out}/telemetry", fmt=fmt)
     reader = spark.read.format(used)
     lake = (reader.schema(processed.schema) if used == "parquet" else reader).load(path)
     fleet_path, region_path = write_kpis(K.fleet_kpis(lake), K.region_kpis(lake), out)
@@ -62,6 +64,7 @@ class DailyRun:
     nulls: DataFrame
     ranges: DataFrame
     summary: DataFrame
+    audits: DataFrame
 
 
 def run_daily(
@@ -72,30 +75,40 @@ def run_daily(
     shape_model: LayerModel | None = None,
     min_votes: int | None = None,
     keys: list[str] | None = None,
+    limits: dict[str, float] | None = None,
     **series_args,
 ) -> DailyRun:
     """Validate, fill, scale, run the layers, vote, store anomalies and the run's metrics.
 
     A missing window model leaves its layer at 0. ``min_votes`` defaults to the
-    majority of three when a window model is given, else to any vote.
+    majority of three when a window model is given, else to any vote. Audit
+    counts are gathered while the scored table is written, and stored under the
+    run date; with ``limits`` (shares for ``null_count`` and ``out_of_range``)
+    a column above them fails the run before anomalies are stored.
     """
     keys = keys or ["event_id"]
     validate_schema(df)
-    nulls, ranges = null_audit(df, SENSOR_COLS), range_audit(df)
-    filled = fill_null_sensors(ensure_key(df))
-    scored = filled
-    for model, flag in ((sequence_model, "l2_seq_flag"), (shape_model, "l3_shape_flag")):
-        scored = scored.withColumn(flag, F.lit(0)) if model is None else model.flag(scored, **series_args)
-    scored = fit_transform(scored, fit_scaler(filled), keys=keys)
+    spark = df.sparkSession
+    anomalies_path, runs_path, audits_path = f"{out}/anomalies", f"{out}/runs", f"{out}/audits"
+    with staging(spark):
+        filled = fill_null_sensors(ensure_key(df))
+        observed, seen = observe_audit(df)
+        scored = fill_null_sensors(ensure_key(observed))
+        for model, flag in ((sequence_model, "l2_seq_flag"), (shape_model, "l3_shape_flag")):
+            scored = scored.withColumn(flag, F.lit(0)) if model is None else model.flag(scored, **series_args)
+        scored = fit_transform(filled, fit_scaler(filled), keys=keys, rows=scored)
+    counts = seen.get
+    audit_rows(spark, counts).coalesce(1).write.mode("overwrite").parquet(f"{audits_path}/run_date={run_date}")
+    check_audit(counts, limits or {})
     if min_votes is None:
         min_votes = 1 if sequence_model is None and shape_model is None else 2
     scored = ensemble_vote(scored, min_votes=min_votes)
     summary = K.run_summary(scored)
-    anomalies_path, runs_path = f"{out}/anomalies", f"{out}/runs"
     write_anomalies(scored, anomalies_path, run_date)
-    params = {"contamination": CONTAMINATION, "min_votes": min_votes, "run_date": run_date}
+    params = {"contamination": CONTAMINATION, "min_votes": min_votes, "run_date": run_date, "n_records": counts["n_records"]}
     log_runs(run_row(summary, f"ensemble_{run_date}", params), runs_path, run_id=run_date)
-    return DailyRun(scored, anomalies_path, runs_path, nulls, ranges, summary)
+    audits = spark.read.parquet(f"{audits_path}/run_date={run_date}")
+    return DailyRun(scored, anomalies_path, runs_path, null_audit(df, SENSOR_COLS), range_audit(df), summary, audits)
 
 
 @dataclass(frozen=True)
@@ -107,8 +120,9 @@ class DriftRun:
 
 def run_drift(ref: DataFrame, cur: DataFrame, out: str, cols: list[str] = DRIFT_COLS, **ks_args) -> DriftRun:
     """Drift report to CSV; the counts read the stored report of one row per column."""
-    report = ks_drift(ref, cur, cols, **ks_args)
     path = f"{out}/drift_report"
-    write_report_csv(report, path)
+    with staging(ref.sparkSession):
+        report = ks_drift(ref, cur, cols, **ks_args)
+        write_report_csv(report, path)
     stored = report.sparkSession.read.option("header", True).schema(report.schema).csv(path)
     return DriftRun(stored, path, drifted_column_count(stored))

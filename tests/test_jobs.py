@@ -341,3 +341,32 @@ def test_text_keys_are_hashed_by_the_jobs(spark, readings, tmp_path):
     job = run_fleet_job(rows.withColumn("event_id", F.when(F.col("speed_kmh") > 3, F.col("event_id"))), str(tmp_path / "j"), fmt="parquet")
     assert job.lake.select("event_id").distinct().count() == 40
     assert dict(job.lake.dtypes)["event_id"] == "bigint"
+
+
+def test_audit_limits_stop_a_run(spark, readings, tmp_path):
+    rows = readings([{"speed_kmh": None if i % 4 == 0 else float(i % 90), "voltage_v": 900.0 if i % 10 == 0 else 400.0} for i in range(200)])
+    run = run_daily(rows, "2024-02-01", str(tmp_path / "a"), limits={"null_count": 0.3, "out_of_range": 0.2})
+    counts = {r["column_name"]: (r["n_records"], r["null_count"], r["out_of_range"]) for r in run.audits.collect()}
+    assert counts["speed_kmh"] == (200, 50, 0) and counts["voltage_v"] == (200, 0, 20)
+    assert spark.read.parquet(run.runs_path).first()["params"]["n_records"] == "200"
+    for limit in ({"null_count": 0.2}, {"out_of_range": 0.05}):
+        with pytest.raises(ValueError, match="audit"):
+            run_daily(rows, "2024-02-01", str(tmp_path / "b"), limits=limit)
+    assert not os.path.exists(tmp_path / "b" / "anomalies")
+    assert spark.read.parquet(str(tmp_path / "b" / "audits")).count() == 10
+
+
+def test_jobs_leave_no_staged_table(spark, readings, tmp_path):
+    from ampledger.session import staging
+
+    top = spark.conf.get("spark.checkpoint.dir") + f"/staged-{spark.sparkContext.applicationId}"
+    tables = lambda: set(os.listdir(top)) if os.path.isdir(top) else set()
+    rows = readings([{"speed_kmh": float(i % 90)} for i in range(200)])
+    before = tables()
+    run_fleet_job(rows, str(tmp_path / "j1"), fmt="parquet", hot_rows=50)
+    run_drift(rows, rows, str(tmp_path / "j3"))
+    assert tables() == before
+    with staging(spark):
+        run_daily(rows, "2024-02-01", str(tmp_path / "j2"))
+        assert len(tables() - before) == 1  # what the returned frame reads
+    assert tables() == before
