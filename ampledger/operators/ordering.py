@@ -131,27 +131,3 @@ def hash_cut(df: DataFrame, k: int, keys: list[str], seed: int, gather_rows: int
         if len(prefix) == 32 and hit["n"] == left:
             return prefix
     raise ValueError(f"columns {keys} do not tell the rows apart; an exact count needs a unique key")
-
-
-def first_bound(value: Column, cuts: list) -> Column:
-    """How many of the ascending cut points are at or below the value."""
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= value))
-
-
-def order_bucket(value: Column, cuts: list[float], fine: int = 1) -> Column:
-    """A bucket number that never decreases with the value.
-
-    ``cuts`` are quantiles from the minimum to the maximum, which bound the
-    share of a bucket; each is divided into ``fine`` equal widths.
-    """
-    points = sorted(set(cuts))
-    coarse = first_bound(value, points)
-    if fine == 1 or len(points) < 2:
-        return coarse.cast("bigint")
-    bounds = F.array(*[F.lit(float(c)) for c in points])
-    at = F.least(F.greatest(coarse, F.lit(1)), F.lit(len(points) - 1))
-    low, high = F.element_at(bounds, at), F.element_at(bounds, at + 1)
-    part = F.floor((value - low) / (high - low) * F.lit(fine))
-    inside = F.least(F.greatest(part, F.lit(0)), F.lit(fine - 1))
-    inside = F.when(coarse < 1, F.lit(0)).when(coarse >= len(points), F.lit(fine)).otherwise(inside)
-    return (coarse * F.lit(fine) + inside).cast("bigint")

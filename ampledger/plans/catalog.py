@@ -1186,6 +1186,23 @@ def ks_fine(spark, sf):
     return ks_two_sample(ref, cur, bucket_rows=20).withColumn("ks_stat", F.round("ks_stat", 6))
 
 
+@query(
+    "ks_two_sample_skewed",
+    """, long as (select cast(event_id % 7 < 5 as int) as is_ref,
+      case when event_id % 3 = 0 then cast(1 as double) else pow(cast(10 as double), floor(speed_kmh) / 20) end as v from telemetry),
+    counts as (select v, sum(is_ref) as r, sum(1 - is_ref) as c from long where v is not null group by v),
+    cdf as (select sum(r) over w as r, sum(c) over w as c, sum(r) over () as n1, sum(c) over () as n2 from counts window w as (order by v))
+    select 'spread' as column_name, round(max(abs(cast(r as double) / n1 - cast(c as double) / n2)), 6) as ks_stat,
+      cast(max(n1) as bigint) as n_ref, cast(max(n2) as bigint) as n_cur from cdf""",
+)
+def ks_skewed(spark, sf):
+    """Values over many orders of magnitude, a third of them equal, divided again and again."""
+    spread = F.when(F.col("event_id") % 3 == 0, F.lit(1.0)).otherwise(F.pow(F.lit(10.0), F.floor("speed_kmh") / 20))
+    rows = telemetry(spark, sf).select("event_id", spread.alias("spread"))
+    ref, cur = (rows.filter(F.col("event_id") % 7 < 5), rows.filter(F.col("event_id") % 7 >= 5))
+    return ks_two_sample(ref, cur, ["spread"], bucket_rows=20).withColumn("ks_stat", F.round("ks_stat", 6))
+
+
 @query("ks_drift_report", _KS_SQL + "select * from report")
 def ks_report(spark, sf):
     return ks_drift(*drift_samples(spark, sf))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ampledger.operators import metrics as M
 from ampledger.operators.augment import inject_faults
-from ampledger.operators.drift import drifted_column_count, ks_drift, ks_two_sample
+from ampledger.operators.drift import _sizes, drifted_column_count, ks_drift, ks_two_sample, value_buckets
 from ampledger.operators.forest import contamination_threshold, fit_isolation_forest, fit_transform
 from ampledger.operators.layers import ensemble_vote
-from ampledger.operators.ordering import exact_quantile, first_rows, hash_cut, order_bucket
+from ampledger.operators.ordering import exact_quantile, first_rows, hash_cut
 from ampledger.operators.scaling import fit_scaler, scale_sensors
 from ampledger.schema import SENSOR_COLS
 
@@ -61,16 +61,6 @@ def test_first_rows_bounded(readings):
     assert want[:5] == [2000, 2001, 2002, 2003, 2004]
 
 
-@pytest.mark.parametrize("fine", [1, 7])
-def test_order_bucket_never_decreases(spark, fine):
-    rng = random.Random(2)
-    values = sorted(rng.gauss(0, 5) for _ in range(400))
-    cuts = [values[0], values[100], values[100], values[250], values[-1]]
-    got = [r["b"] for r in numbers(spark, values).select("v", order_bucket(F.col("v"), cuts, fine).alias("b")).orderBy("v").collect()]
-    assert got == sorted(got)
-    assert len(set(got)) > 3 * min(fine, 3)
-
-
 def test_hash_cut_picks_exactly_k(spark):
     df = spark.range(5000).withColumnRenamed("id", "event_id")
     hashes = sorted(hashlib.md5(f"{i}|42".encode()).hexdigest() for i in range(5000))
@@ -113,6 +103,29 @@ def test_ks_against_brute_force(spark, bucket_rows):
     assert back["ks_stat"] == pytest.approx(row["ks_stat"], abs=1e-12)
 
 
+def test_buckets_of_a_skewed_column_are_bounded(spark):
+    rng = random.Random(8)
+    values = [rng.lognormvariate(0, 4) for _ in range(6000)] + [1.0] * 3000 + [-0.0, 0.0]
+    rows = numbers(spark, values, "value").select(
+        F.lit(1).alias("is_ref"), F.lit("v").alias("column_name"), "value", F.array().cast("array<int>").alias("bucket")
+    )
+    out, levels = value_buckets(rows, _sizes(rows), 10)
+    got = out.groupBy("bucket").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect()
+    assert sum(r["n"] for r in got) == len(values) and len(levels) > 2
+    assert all(r["n"] <= 10 or r["low"] == r["high"] for r in got)
+    got.sort(key=lambda r: r["bucket"])
+    assert all(a["high"] < b["low"] for a, b in zip(got, got[1:]))
+    assert [r["n"] for r in got if r["low"] == 1.0] == [3000]
+
+
+@pytest.mark.parametrize("bucket_rows, exchanges", [(1_000_000, 1), (5, 2)])
+def test_ks_exchanges_values_once(spark, bucket_rows, exchanges):
+    """Values by bucket, and then, where there are several buckets, their numbers by column."""
+    a = numbers(spark, [float(i) for i in range(50)])
+    plan = ks_two_sample(a, a, ["v"], bucket_rows=bucket_rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == exchanges, plan
+
+
 def test_ks_identical_and_disjoint(spark):
     a, b = numbers(spark, [float(i) for i in range(50)]), numbers(spark, [float(i) for i in range(100, 150)])
     same = ks_drift(a, a, ["v"]).first()
