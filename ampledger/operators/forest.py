@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ampledger.functions.isolation import check_sample, expected_path, grow_tree, path_lengths
-from ampledger.operators.ordering import GATHER_ROWS, exact_quantile, row_hash
+from ampledger.operators.ordering import exact_quantile, row_hash
 from ampledger.operators.scaling import Scaler
 from ampledger.schema import CONTAMINATION, SENSOR_COLS
+from ampledger.session import staging
 from ampledger.sources.sinks import stage
 
 _NODE_SCHEMA = "tree int, node int, feature int, split double, path double"
@@ -119,30 +120,31 @@ def fit_isolation_forest(
         depth=int(np.ceil(np.log2(max(size, 2)))),
         norm=expected_path(size) or 1.0,
     )
-    if contamination is None:
-        return model
-    scores = model.score(df).select((-F.col("anomaly_score")).alias("score"))
-    # A large table is ordered in several passes; they read stored scores, not the model.
-    scores = stage(scores, "parquet" if n > GATHER_ROWS else "none")
-    return replace(model, offset=exact_quantile(scores, "score", contamination))
+    return model if contamination is None else with_threshold(model, df, contamination)
+
+
+def with_threshold(
+    model: IsolationForestModel, df: DataFrame, contamination: float = CONTAMINATION, scaler: Scaler | None = None
+) -> IsolationForestModel:
+    """The model with its threshold at the contamination quantile of the scores of ``df``.
+
+    Stores eight bytes a row, the score, until the quantile is known.
+    """
+    with staging(df.sparkSession):
+        scores = stage(model.score(df, scaler).select((-F.col("anomaly_score")).alias("score")))
+        return replace(model, offset=exact_quantile(scores, "score", contamination))
 
 
 def fit_transform(
-    df: DataFrame,
-    scaler: Scaler,
-    contamination: float = CONTAMINATION,
-    keys: list[str] | None = None,
-    rows: DataFrame | None = None,
-    **forest_args,
+    df: DataFrame, scaler: Scaler, contamination: float = CONTAMINATION, keys: list[str] | None = None, **forest_args
 ) -> DataFrame:
-    """Grow the forest on scaled sensors, score every row once, store that, and flag from the stored scores.
+    """Grow the forest on scaled sensors and add anomaly_score and l1_iso_flag.
 
-    Returns the stored table with anomaly_score and l1_iso_flag. ``rows``: what
-    to score and store, if it is not ``df`` itself (more columns, an observed frame).
+    Rows are scored once for the threshold and once when the result is used:
+    scoring reads ten doubles a row, less than storing and reading all columns.
     """
     model = fit_isolation_forest(scaler.transform(df), keys=keys, contamination=None, **forest_args)
-    scored = stage(model.score(df if rows is None else rows, scaler), "parquet", outlive=True)
-    return flag_scores(scored, exact_quantile(scored, -F.col("anomaly_score"), contamination))
+    return with_threshold(model, df, contamination, scaler).transform(df, scaler)
 
 
 def contamination_threshold(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+RUN_SUMMARY = "anomaly_count long, anomaly_rate_pct double"
+
 
 def _averages(*cols: str) -> list[Column]:
     return [F.avg(c).alias(f"avg_{c}") for c in cols]
@@ -56,11 +58,19 @@ def summary_of_regions(kpis: DataFrame) -> DataFrame:
     ).withColumn("anomaly_pct", F.round(F.try_divide(F.col("anomalies"), F.col("total")) * 100, 2))
 
 
-def run_summary(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
+def _run_measures(flag: str) -> list[Column]:
     hit = F.col(flag).cast("int")
-    return df.agg(
-        F.coalesce(F.sum(hit), F.lit(0)).alias("anomaly_count"), (F.avg(hit) * 100).alias("anomaly_rate_pct")
-    )
+    return [F.coalesce(F.sum(hit), F.lit(0)).alias("anomaly_count"), (F.avg(hit) * 100).alias("anomaly_rate_pct")]
+
+
+def run_summary(df: DataFrame, flag: str = "is_anomaly") -> DataFrame:
+    return df.agg(*_run_measures(flag))
+
+
+def observe_summary(df: DataFrame, flag: str = "is_anomaly") -> tuple[DataFrame, Observation]:
+    """The frame, and an observation of :func:`run_summary`'s figures, known once an action has passed all rows."""
+    seen = Observation("summary")
+    return df.observe(seen, *_run_measures(flag)), seen
 
 
 def label_rate(df: DataFrame, label: str = "injected_anomaly") -> DataFrame:

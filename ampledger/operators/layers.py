@@ -16,6 +16,7 @@ from ampledger.operators.metrics import classification_metrics, run_row
 from ampledger.operators.scaling import Scaler, fit_scaler
 from ampledger.operators.series import chronological_split, make_sequences, shape_columns, shape_features
 from ampledger.schema import SENSOR_COLS, SEQ_LEN
+from ampledger.session import scratch_path, staging
 
 # Five settings per layer, in the order they are tried.
 SEQUENCE_CONFIGS = [
@@ -128,7 +129,15 @@ def _estimator(kind: str, params: dict):
 
 
 def _fit(kind: str, table: DataFrame, params: dict) -> PipelineModel:
-    return PipelineModel([_estimator(kind, params).fit(table)])
+    """The fitted classifier, read back from its stored form.
+
+    A fresh logistic model holds a summary with its session and training table, and cannot be sent to the
+    workers once that session has observed metrics.
+    """
+    with staging(table.sparkSession):
+        path = scratch_path(table.sparkSession, "model")
+        PipelineModel([_estimator(kind, params).fit(table)]).write().save(path)
+        return PipelineModel.load(path)
 
 
 def fit_layer(df: DataFrame, kind: str = "sequence", params: dict | None = None, **args) -> LayerModel:

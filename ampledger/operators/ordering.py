@@ -7,15 +7,19 @@ orders it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ampledger.schema import ORDER_COLS
+from ampledger.session import staging
+from ampledger.sources.sinks import stage
 
 GATHER_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
+# A sketched rank is off by one part of its accuracy at most.
+SLACK = 2.0 / SKETCH_ACCURACY
 
 
 def first_rows(df: DataFrame, n: int, order: list[str] | None = None, gather_rows: int = GATHER_ROWS) -> DataFrame:
@@ -42,28 +46,61 @@ def first_rows(df: DataFrame, n: int, order: list[str] | None = None, gather_row
     return df.orderBy(*order).limit(n)
 
 
-def _kth(values: DataFrame, k: int, size: int, gather_rows: int):
-    """The k-th smallest (from 0) of the column ``v``, which holds no NULLs."""
-    v = F.col("v")
-    while size > gather_rows:
-        share, slack = (k + 0.5) / size, 2.0 / SKETCH_ACCURACY
-        shares = [max(share - slack, 0.0), min(share + slack, 1.0)]
-        low, high = values.agg(F.percentile_approx("v", shares, SKETCH_ACCURACY)).first()[0]
-        less, equal_low, mid = values.agg(
-            F.count(F.when(v < low, 1)), F.count(F.when(v == low, 1)), F.count(F.when(v.between(low, high), 1))
-        ).first()
-        if less <= k < less + equal_low:
+def _bracket(share: float, slack: float) -> Column:
+    """Sketched values on either side of a rank, given as a share of the rows."""
+    shares = [max(share - slack, 0.0), min(share + slack, 1.0)]
+    return F.percentile_approx("v", shares, SKETCH_ACCURACY)
+
+
+def _ranked(values: DataFrame, n: int, k: int, low: float, high: float, slack: float, gather_rows: int):
+    """The k-th smallest (from 0) of ``n`` values ``v`` and the next one in order (None: there is none).
+
+    One read counts what lies outside the bracket and at its ends, and stores
+    what lies strictly inside: two sketch errors of the rows, however many share
+    a value. Only that is read again.
+    """
+    if n <= gather_rows:
+        # At most gather_rows rows, by the count.
+        below = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        ranked = values.groupBy("v").agg(F.count("*").alias("n")).withColumn("upto", below)
+        near = ranked.filter(F.col("upto") > k).orderBy("v").limit(2).collect()
+        if near[0]["upto"] > k + 1:
+            return near[0]["v"], near[0]["v"]
+        return near[0]["v"], near[1]["v"] if len(near) > 1 else None
+    v, seen = F.col("v"), Observation()
+    between = (v > low) & (v < high)
+    watched = values.observe(
+        seen,
+        F.count(F.when(v < low, 1)).alias("less"),
+        F.count(F.when(v == low, 1)).alias("at_low"),
+        F.count(F.when(between, 1)).alias("inside"),
+        F.count(F.when((v == high) & (v > low), 1)).alias("at_high"),
+        F.min(F.when(v > high, v)).alias("above"),
+    )
+    inside = stage(watched.filter(between))
+    got = seen.get
+    first = got["less"] + got["at_low"]
+    last = first + got["inside"]
+    if not got["less"] <= k < last + got["at_high"]:  # the sketch missed the rank
+        low, high = values.agg(_bracket((k + 0.5) / n, 8 * slack)).first()[0]
+        return _ranked(values, n, k, low, high, 8 * slack, gather_rows)
+
+    def value(rank: int):
+        if rank < first:
             return low
-        if k < less:
-            values, size = values.filter(v < low), less
-        elif k < less + mid:
-            values, size, k = values.filter((v > low) & (v <= high)), mid - equal_low, k - less - equal_low
-        else:
-            values, size, k = values.filter(v > high), size - less - mid, k - less - mid
-    # At most gather_rows rows remain, by the count above.
-    below = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = values.groupBy("v").agg(F.count("*").alias("n")).withColumn("upto", below)
-    return ranked.filter(F.col("upto") > k).orderBy("v").first()["v"]
+        return high if rank < last + got["at_high"] else got["above"]
+
+    if not first <= k < last:
+        following = _first(inside) if k + 1 == first < last else value(k + 1)
+        return value(k), following
+    share = (k - first + 0.5) / got["inside"]
+    low, high = inside.agg(_bracket(share, SLACK)).first()[0]
+    kth, following = _ranked(inside, got["inside"], k - first, low, high, SLACK, gather_rows)
+    return kth, value(k + 1) if following is None else following
+
+
+def _first(values: DataFrame) -> float:
+    return values.agg(F.min("v")).first()[0]
 
 
 def exact_quantile(df: DataFrame, col: str | Column, q: float, gather_rows: int = GATHER_ROWS) -> float | None:
@@ -71,25 +108,20 @@ def exact_quantile(df: DataFrame, col: str | Column, q: float, gather_rows: int
 
     The built-in keeps every distinct value in one task, so it serves only
     tables of at most ``gather_rows`` values; both ways weigh the two
-    neighbours by the same formula. Larger tables are read several times:
-    pass a stored column.
+    neighbours by the same formula. Larger tables are read twice: one read
+    counts and sketches, one narrows the search to a small stored part.
     """
     c = F.col(col) if isinstance(col, str) else col
     values = df.select(c.cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n = values.count()
+    n, around = values.agg(F.count("v"), _bracket(q, SLACK)).first()
     if n <= gather_rows:
         return values.agg(F.percentile("v", q)).first()[0]
     position = (n - 1) * q
     rank = int(position)
-    low = _kth(values, rank, n, gather_rows)
+    with staging(df.sparkSession):
+        low, high = _ranked(values, n, rank, *around, SLACK, gather_rows)
     share = position - rank
-    if share == 0:
-        return low
-    upto, following = values.agg(
-        F.count(F.when(F.col("v") <= low, 1)), F.min(F.when(F.col("v") > low, F.col("v")))
-    ).first()
-    high = low if upto > rank + 1 else following
-    return low if high == low else (rank + 1 - position) * low + share * high
+    return low if share == 0 or high == low else (rank + 1 - position) * low + share * high
 
 
 def row_hash(keys: list[str], seed: int) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ampledger.operators import kpis as K
 from ampledger.operators.drift import drifted_column_count, ks_drift
 from ampledger.operators.features import cast_telemetry, derive, ensure_key, fill_null_sensors
-from ampledger.operators.forest import fit_transform
+from ampledger.operators.forest import fit_isolation_forest, with_threshold
 from ampledger.operators.layers import LayerModel, ensemble_vote
 from ampledger.operators.metrics import log_runs, run_row
 from ampledger.operators.scaling import fit_scaler
@@ -82,29 +82,35 @@ def run_daily(
 
     A missing window model leaves its layer at 0. ``min_votes`` defaults to the
     majority of three when a window model is given, else to any vote. Audit
-    counts are gathered while the scored table is written, and stored under the
-    run date; with ``limits`` (shares for ``null_count`` and ``out_of_range``)
-    a column above them fails the run before anomalies are stored.
+    counts are gathered while the forest scores the rows for its threshold, and
+    stored under the run date; with ``limits`` (shares for ``null_count`` and
+    ``out_of_range``) a column above them fails the run before anomalies are
+    stored. The summary is gathered while these are written: no step stores the
+    whole table. ``scored`` is computed when it is used; store it to read it often.
     """
     keys = keys or ["event_id"]
     validate_schema(df)
     spark = df.sparkSession
     anomalies_path, runs_path, audits_path = f"{out}/anomalies", f"{out}/runs", f"{out}/audits"
+    filled = fill_null_sensors(ensure_key(df))
+    observed, seen = observe_audit(df)
     with staging(spark):
-        filled = fill_null_sensors(ensure_key(df))
-        observed, seen = observe_audit(df)
-        scored = fill_null_sensors(ensure_key(observed))
-        for model, flag in ((sequence_model, "l2_seq_flag"), (shape_model, "l3_shape_flag")):
-            scored = scored.withColumn(flag, F.lit(0)) if model is None else model.flag(scored, **series_args)
-        scored = fit_transform(filled, fit_scaler(filled), keys=keys, rows=scored)
-    counts = seen.get
-    audit_rows(spark, counts).coalesce(1).write.mode("overwrite").parquet(f"{audits_path}/run_date={run_date}")
+        scaler = fit_scaler(filled)
+        forest = fit_isolation_forest(scaler.transform(filled), keys=keys, contamination=None)
+        forest = with_threshold(forest, fill_null_sensors(ensure_key(observed)), scaler=scaler)
+        counts = seen.get
+        audit_rows(spark, counts).coalesce(1).write.mode("overwrite").parquet(f"{audits_path}/run_date={run_date}")
     check_audit(counts, limits or {})
+    scored = filled
+    for model, flag in ((sequence_model, "l2_seq_flag"), (shape_model, "l3_shape_flag")):
+        scored = scored.withColumn(flag, F.lit(0)) if model is None else model.flag(scored, **series_args)
     if min_votes is None:
         min_votes = 1 if sequence_model is None and shape_model is None else 2
-    scored = ensemble_vote(scored, min_votes=min_votes)
-    summary = K.run_summary(scored)
-    write_anomalies(scored, anomalies_path, run_date)
+    scored = ensemble_vote(forest.transform(scored, scaler), min_votes=min_votes)
+    watched, totals = K.observe_summary(scored)
+    write_anomalies(watched, anomalies_path, run_date)
+    totals = totals.get
+    summary = spark.createDataFrame([(totals["anomaly_count"], totals["anomaly_rate_pct"])], K.RUN_SUMMARY)
     params = {"contamination": CONTAMINATION, "min_votes": min_votes, "run_date": run_date, "n_records": counts["n_records"]}
     log_runs(run_row(summary, f"ensemble_{run_date}", params), runs_path, run_id=run_date)
     audits = spark.read.parquet(f"{audits_path}/run_date={run_date}")

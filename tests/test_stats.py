@@ -10,9 +10,10 @@ from ampledger.operators.augment import inject_faults
 from ampledger.operators.drift import _sizes, drifted_column_count, ks_drift, ks_two_sample, value_buckets
 from ampledger.operators.forest import contamination_threshold, fit_isolation_forest, fit_transform
 from ampledger.operators.layers import ensemble_vote
-from ampledger.operators.ordering import exact_quantile, first_rows, hash_cut
+from ampledger.operators.ordering import _ranked, exact_quantile, first_rows, hash_cut
 from ampledger.operators.scaling import fit_scaler, scale_sensors
 from ampledger.schema import SENSOR_COLS
+from ampledger.sources.sinks import stage
 
 NAN = float("nan")
 
@@ -39,6 +40,16 @@ def test_exact_quantile_narrowed(spark, q):
     assert got == exact_quantile(numbers(spark, values), "v", q)
 
 
+@pytest.mark.parametrize("k", [0, 1, 149, 150, 151, 299])
+def test_ranks_when_the_sketch_misses(spark, k):
+    """Brackets beside the rank, on it, and with the next value outside."""
+    values = sorted([0.25] * 100 + [float(i) for i in range(200)])
+    df = numbers(spark, values)
+    want = (values[k], values[k + 1] if k + 1 < len(values) else None)
+    for low, high in [(50.0, 50.0), (0.25, 199.0), (0.0, 60.0), (-5.0, -4.0), (150.0, 151.0)]:
+        assert _ranked(df, len(values), k, low, high, 1e-4, 20) == want
+
+
 def test_exact_quantile_ignores_null_and_empty(spark):
     assert exact_quantile(numbers(spark, [None, 3.0, 1.0]), "v", 0.5) == 2.0
     assert exact_quantile(numbers(spark, [None]), "v", 0.5) is None
@@ -235,6 +246,21 @@ def test_forest_flags_the_share_and_finds_faults(sensors):
     assert caught / row["flags"] > 0.3
 
 
+def test_forest_stores_scores_alone(sensors, monkeypatch):
+    from ampledger.operators import forest
+
+    stored = []
+
+    def watch(df, *args, **kwargs):
+        stored.append(df.columns)
+        return stage(df, *args, **kwargs)
+
+    monkeypatch.setattr(forest, "stage", watch)
+    flagged = fit_transform(sensors, fit_scaler(sensors), trees=10, subsample=64)
+    assert stored == [["score"]]
+    assert flagged.columns == [*sensors.columns, "anomaly_score", "l1_iso_flag"]
+
+
 def test_forest_does_not_depend_on_partitioning(sensors):
     one, two = (
         fit_isolation_forest(df, trees=10, subsample=64).transform(df).select("event_id", "anomaly_score", "l1_iso_flag")
