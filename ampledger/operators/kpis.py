@@ -15,13 +15,37 @@ def _averages(*cols: str) -> list[Column]:
 def fleet_measures() -> list[Column]:
     """The fleet KPIs of any group of processed rows, in batch and on streams."""
     return [
-        *_averages("speed_kmh", "battery_pct", "temp_motor_c", "power_kw"),
+        *_averages(*_FLEET_AVERAGED),
         F.sum("rule_anomaly").alias("anomaly_count"),
         F.count(F.lit(1)).alias("record_count"),
         F.max("odometer_km").alias("max_odometer_km"),
     ]
 
 
+_FLEET_AVERAGED = ["speed_kmh", "battery_pct", "temp_motor_c", "power_kw"]
+
+
+def fleet_sums() -> list[Column]:
+    """What :func:`fleet_measures` needs of a part of a group, so that parts can be added up."""
+    return [
+        *[F.sum(c).alias(f"sum_{c}") for c in _FLEET_AVERAGED],
+        *[F.count(c).alias(f"n_{c}") for c in _FLEET_AVERAGED],
+        F.sum("rule_anomaly").alias("anomaly_count"),
+        F.count(F.lit(1)).alias("record_count"),
+        F.max("odometer_km").alias("max_odometer_km"),
+    ]
+
+
+def fleet_of_sums(parts: DataFrame, by: list[str]) -> DataFrame:
+    """The fleet KPIs of groups from the sums of their parts."""
+    return parts.groupBy(*by).agg(
+        *[F.try_divide(F.sum(f"sum_{c}"), F.sum(f"n_{c}")).alias(f"avg_{c}") for c in _FLEET_AVERAGED],
+        F.sum("anomaly_count").alias("anomaly_count"),
+        F.sum("record_count").alias("record_count"),
+        F.max("max_odometer_km").alias("max_odometer_km"),
+    )
+
+
 def fleet_kpis(df: DataFrame, by_day: bool = False) -> DataFrame:
     """KPIs by vehicle, year, month, hour of day and region; ``by_day`` adds the date."""
     day = ["date_"] if by_day else []

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampledger.functions import scalars as S
@@ -1267,6 +1267,28 @@ def stream_fleet_hourly(spark, sf):
     )
 
 
+@query(
+    "stream_fleet_hourly_whole",
+    f"""select kind, strftime(hour, '%Y-%m-%d %H:%M:%S.%f') as hour_start, vehicle_id, region, {_FLEET_SQL}
+        from (select *, case when event_id % 2 = 1 and hour + interval 2 hour <= (select max(event_ts) from derived where event_id % 2 = 0) then 'late'
+            when hour + interval 2 hour <= (select max(event_ts) from derived) then 'closed' else 'open' end as kind
+          from (select *, date_trunc('hour', event_ts) as hour from derived))
+        group by kind, hour, vehicle_id, region""",
+)
+def stream_fleet_hourly_whole(spark, sf):
+    """Readings that arrive in two parts, so that much of the second is late: closed, open and late groups have every row."""
+    src, out, state = (scratch_path(spark, name) for name in ("arrivals", "hourly", "hourly-state"))
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf}/events.parquet")
+    for part in range(2):
+        events.filter(F.col("event_id") % 2 == part).write.mode("append").parquet(src)
+        arrivals = from_events(spark.readStream.schema(EVENTS_SCHEMA).parquet(src))
+        hourly = streams.run_hourly(X.derive(arrivals), out, state)
+    floats = [*_FLEET_AVGS, "max_odometer_km"]
+    return hourly.groups().select(
+        "kind", _ts_text("hour_start").alias("hour_start"), "vehicle_id", "region", *_rounded(floats), "anomaly_count", "record_count"
+    )
+
+
 # Jobs
 
 
@@ -1332,3 +1354,157 @@ def daily_anomaly_run_layers(spark, sf):
 @query("drift_job", _KS_SQL + "select * from report")
 def drift_job(spark, sf):
     return run_drift(*drift_samples(spark, sf), scratch_path(spark, "drift")).report
+
+
+# Fitted models: no SQL gives their scores, but SQL gives what must hold of them
+
+
+# Spark and DuckDB read it alike.
+_HELD = "cast(regexp_extract(vehicle_id, '([0-9]+)$', 1) as int) % 5 = 0"
+
+
+# Fewer faults than these say nothing about a share of them.
+_ENOUGH_FAULTS = 30
+
+
+def _caught(flag: str, lift: float, recall: float | None = None, among: Column | None = None) -> list[Column]:
+    """Over the rows ``among`` all: whether flagged rows are faults ``lift`` times as often as all rows, and the flag finds the share ``recall`` of the faults."""
+    among = F.lit(True) if among is None else among
+    hit, fault = among & (F.col(flag) == 1), among & (F.col("injected_anomaly") == 1)
+    n, both, faults, flagged = (F.count(F.when(c, 1)) for c in (among, hit & fault, fault, hit))
+    few = faults < _ENOUGH_FAULTS
+    out = [(few | (both * n >= flagged * faults * F.lit(lift)) & (flagged > 0)).alias("lift_reached")]
+    return out if recall is None else [*out, (few | (both >= faults * F.lit(recall))).alias("recall_reached")]
+
+
+@query(
+    "isolation_forest_checks",
+    "select count(*) as n_rows, true as share_flagged, true as scores_in_range, true as flags_follow_scores, "
+    "true as recall_reached, true as lift_reached from telemetry",
+)
+def isolation_forest_checks(spark, sf):
+    """Three percent flagged, the highest scores, among them at least a fifth of the faults and five times their share."""
+    rows = X.fill_null_sensors(telemetry(spark, sf))
+    scored, n, score = fit_transform(rows, fit_scaler(rows)), F.count(F.lit(1)), F.col("anomaly_score")
+    lowest_hit = F.min(F.when(F.col("l1_iso_flag") == 1, score))
+    return scored.agg(
+        n.alias("n_rows"),
+        (F.abs(F.sum("l1_iso_flag") - 0.03 * n) <= 1 + 0.001 * n).alias("share_flagged"),
+        (F.min(score.between(0, 1).cast("int")) == 1).alias("scores_in_range"),
+        (lowest_hit > F.max(F.when(F.col("l1_iso_flag") == 0, score))).alias("flags_follow_scores"),
+        *_caught("l1_iso_flag", 5.0, 0.2),
+    )
+
+
+def _held_out(spark, sf, kind: str, lift: float, recall: float | None = None) -> DataFrame:
+    """A layer fitted on four fifths of the vehicles, judged on the full windows of the others."""
+    rows = X.fill_null_sensors(telemetry(spark, sf))
+    layer = L.fit_layer(rows.filter(f"not ({_HELD})"), kind)
+    flag = L.FLAGS[kind]
+    flagged = W.add_position(layer.flag(rows.filter(_HELD)))
+    early = F.col("position") < layer.seq_len
+    return flagged.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(early, 1)).alias("n_without_window"),
+        F.coalesce(F.sum(F.when(early, F.col(flag))), F.lit(0)).alias("n_flagged_without_window"),
+        *_caught(flag, lift, recall, ~early),
+    )
+
+
+_HELD_OUT_SQL = f"""select count(*) as n_rows, count(case when p < 30 then 1 end) as n_without_window, cast(0 as bigint) as n_flagged_without_window,
+    true as lift_reached {{more}}
+  from (select row_number() over (partition by vehicle_id order by event_ts, event_id) as p from telemetry where {_HELD})"""
+
+
+@query("sequence_layer_held_out", _HELD_OUT_SQL.format(more=", true as recall_reached"))
+def sequence_layer_held_out(spark, sf):
+    """At least half of the faults found, and five times their share."""
+    return _held_out(spark, sf, "sequence", 5.0, 0.5)
+
+
+@query("shape_layer_held_out", _HELD_OUT_SQL.format(more=""))
+def shape_layer_held_out(spark, sf):
+    """Better than chance; the layer finds a third to a half of the faults, and no recall is promised."""
+    return _held_out(spark, sf, "shape", 1.5)
+
+
+_GRID_SQL = "select cast(5 as bigint) as n_runs, cast(20 as bigint) as n_metrics, true as in_range, true as f1_agrees"
+
+
+def _grid_checks(spark, sf, kind: str) -> DataFrame:
+    """Five runs of four figures, whose F1 follows from precision and recall."""
+    runs = L.config_grid(X.fill_null_sensors(telemetry(spark, sf)), kind)
+    figure = {m: F.col("metrics")[m] for m in _METRIC_COLS}
+    p, r = figure["precision"], figure["recall"]
+    f1 = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    inside = reduce(lambda a, b: a & b, [c.between(0, 1) for c in figure.values()])
+    return runs.agg(
+        F.count(F.lit(1)).alias("n_runs"),
+        F.sum(F.size("metrics")).cast("bigint").alias("n_metrics"),
+        F.coalesce(F.bool_and(inside), F.lit(False)).alias("in_range"),
+        F.coalesce(F.bool_and(F.abs(f1 - figure["f1"]) < 1e-9), F.lit(False)).alias("f1_agrees"),
+    )
+
+
+@query("config_grid_sequence_checks", _GRID_SQL)
+def config_grid_sequence_checks(spark, sf):
+    return _grid_checks(spark, sf, "sequence")
+
+
+@query("config_grid_shape_checks", _GRID_SQL)
+def config_grid_shape_checks(spark, sf):
+    return _grid_checks(spark, sf, "shape")
+
+
+@query(
+    "batch_score_checks",
+    "select count(*) as n_rows, true as in_range, true as decision_agrees, true as confidence_agrees, true as lift_reached from telemetry",
+)
+def batch_score_checks(spark, sf):
+    """Scores are probabilities, and flag, label and confidence follow from them."""
+    rows = X.fill_null_sensors(telemetry(spark, sf))
+    scored = L.batch_score(rows, L.fit_layer(rows, "sequence"), keep=["event_id", "injected_anomaly"])
+    p, hit = F.col("anomaly_score"), F.col("is_anomaly").cast("int") == 1
+    return scored.withColumn("hit", hit.cast("int")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(p.between(0, 1)).alias("in_range"),
+        F.bool_and((hit == (p > 0.5)) | (F.abs(p - 0.5) < 1e-3)).alias("decision_agrees"),
+        F.bool_and(F.abs(F.col("confidence") - F.greatest(p, 1 - p)) < 1e-3).alias("confidence_agrees"),
+        *_caught("hit", 2.0),
+    )
+
+
+@query(
+    "daily_run_checks",
+    f"""select count(*) as n_rows, count(*) as n_records, true as stored_agree, true as rate_agrees, true as votes_agree,
+      cast(1 as bigint) as n_runs, '{RUN_DATE}' as run_date from telemetry""",
+)
+def daily_run_checks(spark, sf):
+    """Stored anomalies, the run row and the votes of one daily run agree, also after a second run of the date."""
+    out = scratch_path(spark, "daily")
+    for _ in range(2):
+        run = run_daily(telemetry(spark, sf), RUN_DATE, out)
+    scored = run.scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("is_anomaly").alias("found"),
+        F.bool_and(F.col("is_anomaly") == (F.col("anomaly_votes") >= 1).cast("int")).alias("votes_agree"),
+    )
+    stored = spark.read.parquet(run.anomalies_path).agg(F.count(F.lit(1)).alias("stored"), F.min("is_anomaly").alias("low"))
+    runs = spark.read.schema(M.RUN_SCHEMA).parquet(run.runs_path).agg(
+        F.count(F.lit(1)).alias("n_runs"),
+        F.max(F.col("metrics")["anomaly_rate_pct"]).alias("rate"),
+        F.max(F.col("metrics")["anomaly_count"]).cast("bigint").alias("counted"),
+        F.max(F.col("params")["n_records"]).cast("bigint").alias("n_records"),
+        F.max(F.col("params")["run_date"]).alias("run_date"),
+    )
+    one = F.lit(1).alias("one")
+    joined = scored.select(one, "*").join(stored.select(one, "*"), "one").join(runs.select(one, "*"), "one")
+    return joined.select(
+        "n_rows",
+        "n_records",
+        ((F.col("found") == F.col("stored")) & (F.col("found") == F.col("counted")) & (F.col("low") == 1)).alias("stored_agree"),
+        (F.abs(F.col("rate") - F.col("found") * 100 / F.col("n_rows")) < 1e-9).alias("rate_agrees"),
+        "votes_agree",
+        "n_runs",
+        "run_date",
+    )

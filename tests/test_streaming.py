@@ -57,3 +57,26 @@ def test_hourly_windows_over_several_batches(spark, sf_dir, tmp_path):
     closed = rows.filter(hour + F.expr("interval 2 hours") <= F.lit(last))
     assert out.agg(F.sum("record_count")).first()[0] == closed.count()
     assert out.count() == closed.select("vehicle_id", "region", hour.alias("h")).distinct().count()
+
+
+def test_hourly_sums_lose_no_row(spark, readings, tmp_path):
+    """Late rows, open hours, rows without a time, nulls, an empty batch, and a batch that is run again."""
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    batches = [
+        [{"event_id": 1, "event_ts": "2024-01-01 10:10:00", "speed_kmh": 10.0}, {"event_id": 2, "event_ts": "2024-01-01 12:30:00", "speed_kmh": None}],
+        [],
+        [{"event_id": 3, "event_ts": "2024-01-01 10:20:00", "speed_kmh": 50.0}, {"event_id": 4, "event_ts": "2024-01-01 12:40:00", "speed_kmh": 30.0},
+         {"event_id": 5, "event_ts": None, "speed_kmh": 1.0}],
+    ]
+    for i, rows in enumerate(batches):
+        frame = readings(rows or [{"event_id": 0, "event_ts": "2024-01-01 00:00:00"}])
+        schema = frame.schema
+        (frame if rows else frame.limit(0)).write.mode("append").parquet(src)
+        stream = X.derive(spark.readStream.schema(schema).parquet(src))
+        run = streams.run_hourly(stream, out, str(tmp_path / "state"))
+    got = {(r["kind"], str(r["hour_start"])[11:13]): (r["record_count"], r["avg_speed_kmh"]) for r in run.groups().collect()}
+    assert got == {("closed", "10"): (1, 10.0), ("late", "10"): (1, 50.0), ("late", ""): (1, 1.0), ("open", "12"): (2, 30.0)}
+    assert sorted(r["event_id"] for r in run.late_rows.collect()) == [3, 5]
+    # Nothing new arrived: the results stay.
+    again = streams.run_hourly(stream, out, str(tmp_path / "state"))
+    assert again.groups().count() == 4 and again.watermark == run.watermark
