@@ -82,8 +82,8 @@ def _ranked(values: DataFrame, n: int, k: int, low: float, high: float, slack: f
     first = got["less"] + got["at_low"]
     last = first + got["inside"]
     if not got["less"] <= k < last + got["at_high"]:  # the sketch missed the rank
-        low, high = values.agg(_bracket((k + 0.5) / n, 8 * slack)).first()[0]
-        return _ranked(values, n, k, low, high, 8 * slack, gather_rows)
+        around = values.agg(_bracket((k + 0.5) / n, 8 * slack)).first()[0]
+        return _ranked(values, n, k, *around, 8 * slack, gather_rows)
 
     def value(rank: int):
         if rank < first:
@@ -94,8 +94,8 @@ def _ranked(values: DataFrame, n: int, k: int, low: float, high: float, slack: f
         following = _first(inside) if k + 1 == first < last else value(k + 1)
         return value(k), following
     share = (k - first + 0.5) / got["inside"]
-    low, high = inside.agg(_bracket(share, SLACK)).first()[0]
-    kth, following = _ranked(inside, got["inside"], k - first, low, high, SLACK, gather_rows)
+    around = inside.agg(_bracket(share, SLACK)).first()[0]
+    kth, following = _ranked(inside, got["inside"], k - first, *around, SLACK, gather_rows)
     return kth, value(k + 1) if following is None else following
 
 

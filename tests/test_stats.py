@@ -40,13 +40,13 @@ def test_exact_quantile_narrowed(spark, q):
     assert got == exact_quantile(numbers(spark, values), "v", q)
 
 
-@pytest.mark.parametrize("k", [0, 1, 149, 150, 151, 299])
+@pytest.mark.parametrize("k", [0, 1, 101, 149, 150, 249, 299])
 def test_ranks_when_the_sketch_misses(spark, k):
     """Brackets beside the rank, on it, and with the next value outside."""
     values = sorted([0.25] * 100 + [float(i) for i in range(200)])
     df = numbers(spark, values)
     want = (values[k], values[k + 1] if k + 1 < len(values) else None)
-    for low, high in [(50.0, 50.0), (0.25, 199.0), (0.0, 60.0), (-5.0, -4.0), (150.0, 151.0)]:
+    for low, high in [(50.0, 50.0), (0.25, 199.0), (0.0, 60.0), (0.25, 150.0), (0.0, 1.0), (-5.0, -4.0), (150.0, 151.0)]:
         assert _ranked(df, len(values), k, low, high, 1e-4, 20) == want
 
 
