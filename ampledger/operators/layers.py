@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -37,6 +40,8 @@ SHAPE_CONFIGS = [
 
 #: About so many windows, at most, are learned from (see ``training_table``).
 FIT_ROWS = 500_000
+#: Configurations of a grid that are fitted at a time.
+GRID_WORKERS = 4
 FLAGS = {"sequence": "l2_seq_flag", "shape": "l3_shape_flag"}
 _SCALED = "_scaled_"
 _STATE_SCHEMA = "kind string, seq_len int, cols array<string>, means array<double>, stds array<double>"
@@ -59,6 +64,13 @@ class LayerModel:
             "rawPrediction", "probability"
         )
 
+    def digest(self) -> str:
+        """Digest of the scaler and the fitted numbers: equal for a model and its stored form."""
+        fitted = self.model.stages[-1]
+        body = fitted.toDebugString.split("\n", 1)[1] if self.kind == "shape" else (fitted.coefficients.toArray().tolist(), fitted.intercept)
+        state = (self.kind, self.seq_len, list(self.scaler.cols), list(self.scaler.means), list(self.scaler.stds), body)
+        return hashlib.sha256(repr(state).encode()).hexdigest()
+
     def save(self, path: str) -> None:
         """Write the classifier and the scaler; an existing model at the path is replaced."""
         self.model.write().overwrite().save(f"{path}/model")
@@ -158,31 +170,52 @@ def fit_layer(df: DataFrame, kind: str = "sequence", params: dict | None = None,
         table.unpersist()
 
 
-def fit_grid(df: DataFrame, kind: str = "sequence", configs: list[dict] | None = None, metric: str = "f1", scale_on: str = "all", **args) -> tuple[DataFrame, LayerModel | None]:
+def fit_grid(
+    df: DataFrame,
+    kind: str = "sequence",
+    configs: list[dict] | None = None,
+    metric: str = "f1",
+    scale_on: str = "all",
+    workers: int = GRID_WORKERS,
+    **args,
+) -> tuple[DataFrame, LayerModel | None]:
     """Fit every configuration on the first 80 % of each series' windows, with metrics on the rest.
 
     Returns the run rows and the model of the best run by ``metric``; ties keep
     the earliest, and None means that all are 0. The scaler learns from all
     rows, or with ``scale_on="train"`` from the first 80 % of each series.
+    ``workers`` configurations are fitted at a time from one cached table, as
+    the many short jobs of one fit leave executors idle; with fair scheduling
+    (``spark.scheduler.mode``) each has a pool of its own.
     """
     if scale_on not in ("all", "train"):
         raise ValueError(f"scale_on must be 'all' or 'train', not {scale_on!r}")
     configs = configs or (SEQUENCE_CONFIGS if kind == "sequence" else SHAPE_CONFIGS)
+    spark = df.sparkSession
     base = chronological_split(df).filter(F.col("split") == "train") if scale_on == "train" else df
     scaler = fit_scaler(base)
     table = training_table(df, kind, scaler, split="sequences", **args)
     table = table.select("features", "label", "weight", "split").persist()
+
+    def run(idx: int):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{idx}")
+        model = LayerModel(kind, scaler, _fit(kind, train, configs[idx]), args.get("seq_len", SEQ_LEN))
+        # One row of four figures per configuration; the cached windows are not needed later.
+        return model, classification_metrics(model.score(val)).first()
+
     try:
         train, val = table.filter(F.col("split") == "train"), table.filter(F.col("split") == "val")
+        # Fill the cache once; fits that start together would each compute what they find missing.
+        table.count()
+        with ThreadPoolExecutor(max(1, min(workers, len(configs)))) as pool:
+            # Threads of the pool take the session's properties, and keep their own pool names to themselves.
+            started = [pool.submit(inheritable_thread_target(spark)(run), idx) for idx in range(len(configs))]
+            results = [f.result() for f in started]
         runs, best, highest = [], None, 0.0
-        for idx, params in enumerate(configs):
-            model = LayerModel(kind, scaler, _fit(kind, train, params), args.get("seq_len", SEQ_LEN))
-            # One row of four figures per configuration; the cached windows are not needed later.
-            row = classification_metrics(model.score(val)).first()
+        for idx, (model, row) in enumerate(results):
             if row[metric] > highest:
                 best, highest = model, row[metric]
-            figures = df.sparkSession.createDataFrame([row])
-            runs.append(run_row(figures, f"{kind}_config_{idx + 1}", params, config_idx=idx))
+            runs.append(run_row(spark.createDataFrame([row]), f"{kind}_config_{idx + 1}", configs[idx], config_idx=idx))
         return reduce(DataFrame.unionByName, runs), best
     finally:
         table.unpersist()

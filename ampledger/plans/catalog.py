@@ -1474,6 +1474,28 @@ def batch_score_checks(spark, sf):
     )
 
 
+@query(
+    "stream_batch_score",
+    "select count(*) as n_rows, true as equal_scores, true as one_model, true as model_agrees from telemetry",
+)
+def stream_batch_score(spark, sf):
+    """A fitted layer, stored and loaded by a stream, scores every reading as the batch does."""
+    rows = X.fill_null_sensors(telemetry(spark, sf))
+    layer, path = L.fit_layer(rows, "sequence"), scratch_path(spark, "layer")
+    layer.save(path)
+    out, state = scratch_path(spark, "scored"), scratch_path(spark, "scored-state")
+    streamed = streams.score_available(_event_stream(spark, sf), path, out, state, ["event_id"])
+    batch = L.batch_score(rows, layer, keep=["event_id"])
+    names = [c for c in batch.columns if c != "event_id"]
+    pairs = streamed.join(batch.select("event_id", F.struct(*names).alias("_batch")), "event_id", "full_outer")
+    return pairs.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(F.coalesce(F.struct(*names) == F.col("_batch"), F.lit(False))).alias("equal_scores"),
+        (F.min("model") == F.max("model")).alias("one_model"),
+        F.bool_and(F.col("model") == layer.digest()).alias("model_agrees"),
+    )
+
+
 @query(
     "daily_run_checks",
     f"""select count(*) as n_rows, count(*) as n_records, true as stored_agree, true as rate_agrees, true as votes_agree,

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ampledger.functions.scalars import decision
-from ampledger.operators.features import derive
+from ampledger.operators.features import derive, fill_null_sensors
 from ampledger.operators.kpis import fleet_measures, fleet_of_sums, fleet_sums
+from ampledger.operators.layers import LayerModel, batch_score
 
 
 def score_rows(df: DataFrame, probability) -> DataFrame:
@@ -117,3 +118,17 @@ def run_available(
     )
     query.awaitTermination()
     return result.sparkSession.read.schema(result.schema).parquet(out)
+
+
+def score_available(stream: DataFrame, model_path: str, out: str, checkpoint: str, keep: list[str]) -> DataFrame:
+    """Score what has arrived with a stored window model, as :func:`batch_score` does, and append it to a table.
+
+    The model is loaded when the run starts, so a later run picks up a model
+    stored anew; ``model`` is the digest of the one that scored the row.
+    Missing sensors count as 0. The path's table holds the rows of all runs.
+    """
+    layer = LayerModel.load(stream.sparkSession, model_path)
+    digest = layer.digest()
+    return run_available(
+        stream, out, checkpoint, lambda df: batch_score(fill_null_sensors(df), layer, keep).withColumn("model", F.lit(digest))
+    )

@@ -366,3 +366,11 @@ def test_jobs_leave_no_staged_table(spark, readings, tmp_path):
     run = run_daily(rows, "2024-02-01", str(tmp_path / "j2"))
     assert run.scored.count() == 200
     assert tables() == before
+
+
+def test_grid_of_one_and_of_many_workers_agree(rows):
+    filled = X.fill_null_sensors(rows)
+    one, many = (L.fit_grid(filled, "sequence", L.SEQUENCE_CONFIGS[:3], workers=n) for n in (1, 3))
+    assert one[0].drop("run_ts").collect() == many[0].drop("run_ts").collect()
+    assert (one[1] is None) == (many[1] is None)
+    assert one[1] is None or one[1].digest() == many[1].digest()

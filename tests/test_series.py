@@ -2,6 +2,7 @@
 
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,36 @@ def test_shape_of_a_ramp(readings):
     assert (row["speed_kmh_min"], row["speed_kmh_max"], row["speed_kmh_range"]) == (4.0, 62.0, 58.0)
 
 
+@pytest.mark.parametrize("seq_len", [3, 4, 7])
+def test_shape_of_every_window_by_brute_force(readings, seq_len):
+    """Missing values, and a value that would swamp sums kept beyond its window."""
+    speeds = [None if i % 11 in (4, 5) else 1e15 if i == 9 else ((i * 37) % 23) / 4 for i in range(41)]
+    df = readings([{"speed_kmh": v} for v in speeds])
+    rows = W.shape_features(df, seq_len, cols=["speed_kmh"]).orderBy("position").collect()
+    assert [r["position"] for r in rows] == list(range(41 - seq_len + 1))
+    for r in rows:
+        window = speeds[r["position"] : r["position"] + seq_len]
+        known = [(i, v) for i, v in enumerate(window) if v is not None]
+        values = np.array([v for _, v in known])
+        first = [None if a is None or b is None else b - a for a, b in zip(window, window[1:])]
+        second = [None if a is None or b is None else b - a for a, b in zip(first, first[1:])]
+        want = {
+            "mean": values.mean() if len(values) else None,
+            "std": values.std(ddof=1) if len(values) > 1 else None,
+            "min": values.min() if len(values) else None,
+            "max": values.max() if len(values) else None,
+            "range": np.ptp(values) if len(values) else None,
+            "slope": statistics.linear_regression(*zip(*known)).slope if len(values) > 1 else None,
+        }
+        for name, steps in (("diff1", first), ("diff2", second)):
+            steps = [abs(x) for x in steps if x is not None]
+            want[name] = sum(steps) / len(steps) if steps else None
+        for name, value in want.items():
+            got = r[f"speed_kmh_{name}"]
+            assert (got is None) == (value is None), (name, r["position"])
+            assert value is None or got == pytest.approx(value, rel=1e-9, abs=1e-12 * max(map(abs, values))), (name, r["position"])
+
+
 def test_slices_are_bounded_and_split_equal_timestamps(mixed, spark):
     df, series = mixed
     hot = df.filter(F.col("vehicle_id") == "A").withColumn("_length", F.lit(225))
