@@ -202,6 +202,63 @@ def test_language_model(docs, texts, monkeypatch):
     assert lm.score_texts(docs.limit(0), train).count() == 0
 
 
+def plain_mixture(cut, used, back):
+    """Scores by plain dictionaries: weights from held-back texts, counts of all that are learned from."""
+
+    def counts(chosen):
+        word, pair = collections.Counter(), collections.Counter()
+        for i, ws in cut:
+            if chosen(i):
+                word.update(["", *ws])
+                pair.update(zip(["", *ws], ws))
+        return word, pair, sum(n for w, n in word.items() if w)
+
+    word, pair, total = counts(lambda i: used(i) and i not in back)
+    table = collections.Counter()
+    for i, ws in cut:
+        if used(i) and i in back:
+            for a, b in zip(["", *ws], ws):
+                steps = [round(-lm.STEPS * math.log2(x / y)) if x and y else -1 for x, y in ((pair[a, b], word[a]), (word[b], total))]
+                table[(min(word[a].bit_length(), lm.CONTEXTS - 1), *steps)] += 1
+    word, pair, total = counts(used)
+    p0 = 1 / (len([w for w in word if w]) + 1)
+    weights = {}
+    for bucket in {k[0] for k in table}:
+        w = [1 / 3] * 3 if bucket else [0, 0.5, 0.5]
+        cells = [([2 ** (-x / lm.STEPS) if x >= 0 else 0 for x in k[1:]] + [p0], n) for k, n in table.items() if k[0] == bucket]
+        for _ in range(lm.ROUNDS):
+            parts = [[n * x * y / sum(map(math.prod, zip(w, p))) for x, y in zip(w, p)] for p, n in cells]
+            sums = [sum(x) for x in zip(*parts)]
+            w = [x / sum(sums) for x in sums]
+        weights[bucket] = w
+    for bucket in range(1, lm.CONTEXTS):
+        weights.setdefault(bucket, weights[bucket - 1] if bucket - 1 in weights and bucket > 1 else [1 / 3] * 3)
+    weights.setdefault(0, [0, 0.5, 0.5])
+    scores = {}
+    for i, ws in cut:
+        score = 0
+        for a, b in zip(["", *ws], ws):
+            w = weights[min(word[a].bit_length(), lm.CONTEXTS - 1)]
+            score += math.log10(w[0] * pair[a, b] / max(word[a], 1) + w[1] * word[b] / total + w[2] * p0)
+        scores.setdefault(i, []).append(score)
+    return scores
+
+
+def test_mixture_by_brute_force(spark, sf_dir, monkeypatch):
+    """Every score anew, with and without a held-back text, chunks smaller than the table."""
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 20_000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    back = {r["doc_id"] for r in docs.filter(lm.held_back()).collect()}
+    cut = [(r["doc_id"], [*re.findall(r"[^\x20\x09-\x0D]+", lower(r["text"] or "")), "\n"]) for r in docs.collect()]
+    third = F.col("doc_id") % 3 != 0
+    for train, used in ((third, lambda i: i % 3 != 0), (third & ~lm.held_back(), lambda i: i % 3 != 0 and i not in back)):
+        want = plain_mixture(cut, used, back)
+        got = lm.score_texts(docs, train).collect()
+        assert len(got) == len(cut)
+        for r in got:
+            assert any(abs(r["score"] - x) < 1e-6 * max(1, abs(x)) for x in want[r["doc_id"]]), r["doc_id"]
+
+
 def test_mixture_beats_its_parts(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held = lm.held_out("doc_id")
