@@ -2,10 +2,11 @@
 
 The index is made of segments: each holds some documents' words as sorted
 terms with their positions, and is one row of a stored table, so that common
-terms are spread over all segments. A search sends blocks of bounded size of
-test phrases to every segment; there the position lists of a phrase's terms,
-moved by their offsets, are intersected from the rarest term on. Store an index
-before searching it.
+terms are spread over all segments. Test items are cut into distinct phrases by
+Spark, which deals them by their hash into blocks of bounded size; a search sends
+a block of hashed phrases to every segment. There the position lists of a
+phrase's terms, moved by their offsets, are intersected from the rarest term on.
+Store an index before searching it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ampledger.llm.arrays import LOWER, NOT_ALNUM, gather, give_back, pack, pack_small, text_bytes, unpack, unpack_small, word_hashes
+from ampledger.llm.arrays import LOWER, NOT_ALNUM, give_back, pack, pack_small, text_bytes, unpack, unpack_small, word_hashes
 from ampledger.llm.scratch import stage
 
 #: Fixed values of the contract: words of a window, and the share of hit words (1 in 20) that contaminates.
@@ -27,8 +28,10 @@ WINDOW = 13
 HIT_SHARE = 20
 #: Text bytes in a segment (a longer text is a segment of its own).
 SEGMENT_BYTES = 4 << 20
-#: Words of test items that are searched at a time.
-BLOCK_WORDS = 200_000
+#: Words of distinct test phrases, and names of their items, that are searched at a time.
+BLOCK_WORDS = 1_000_000
+#: Phrases of one item in a batch of rows.
+BATCH_PHRASES = 10_000
 
 
 def item_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -72,33 +75,37 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(id_col, text_col).mapInArrow(run, schema).withColumn("segment", F.monotonically_increasing_id())
 
 
+def distinct_phrases(items: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """The distinct phrases of all items: hashed words, and the sorted names of the items that have each.
+
+    A null id is the empty name.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, offsets = item_words(batch.column(1))
+            for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                width = min(b - a, window)
+                for start in range(a, b - width + 1 if width else a, BATCH_PHRASES):
+                    end = min(start + BATCH_PHRASES, b - width + 1)
+                    phrases = [words[k : k + width].tobytes() for k in range(start, end)]
+                    names = pa.array([batch.column(0)[i].as_py()] * len(phrases), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.binary()), names], ["words", "name"])
+
+    named = items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("name"), F.col(text_col).cast("string").alias("text"))
+    return named.mapInArrow(cut, "words binary, name string").groupBy("words").agg(F.array_sort(F.collect_set("name")).alias("names"))
+
+
 class Phrases:
-    """Distinct test windows and the items that have each."""
-
-    def __init__(self, names: list[str], texts: list[str], window: int):
-        words, offsets = item_words(pa.array(texts, pa.string()))
-        sizes = np.diff(offsets)
-        width = np.minimum(sizes, window)
-        count = np.where(sizes > 0, sizes - width + 1, 0)
-        item = np.repeat(np.arange(len(names)), count)
-        starts = gather(offsets[:-1], count)
-        lengths = width[item]
-        # A window is equal to another if its words are.
-        seen: dict[bytes, int] = {}
-        flat, bounds, items = [], [0], []
-        for s, n, i in zip(starts.tolist(), lengths.tolist(), item.tolist()):
-            w = words[s : s + n]
-            at = seen.setdefault(w.tobytes(), len(items))
-            if at == len(items):
-                flat.append(w)
-                bounds.append(bounds[-1] + n)
-                items.append(set())
-            items[at].add(i)
-        every = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
+    """A block of distinct phrases, as hashed words, and the items that have each."""
+
+    def __init__(self, words: list[bytes], names: list[list[str]]):
+        every = np.frombuffer(b"".join(words), np.uint64)
         self.terms, self.term_of = np.unique(every, return_inverse=True)
-        self.bounds = np.array(bounds)
-        self.items = [sorted(x) for x in items]
-        self.names = names
+        self.bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(w) // 8 for w in words], dtype=np.int64)])
+        self.names = sorted({name for each in names for name in each})
+        number = {name: i for i, name in enumerate(self.names)}
+        self.items = [[number[name] for name in each] for each in names]
 
 
 def intersect(lists: list[np.ndarray], offsets: list[int], slop: int) -> np.ndarray:
@@ -151,22 +158,24 @@ def find_phrases(index: DataFrame, items: DataFrame, item_col: str = "item_id",
     consecutive item words; an item of fewer words, but not none, is one
     window; null and empty items have none. ``slop`` 0 finds exact phrases; more
     finds windows whose terms each stand at most that many words from their
-    place (proximity). A null item id counts as the empty name. The items are
-    searched in blocks of about ``block_words`` words, all of them.
+    place (proximity). A null item id counts as the empty name. All phrases are
+    searched, in blocks of about ``block_words`` words and item names; the index
+    is read once a block. Long or repeated items spread over the blocks. Only
+    a block at a time, as hashes, comes to the driver.
     """
     spark = index.sparkSession
-    named = items.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("name"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    total = named.agg(F.sum(F.length("text") / 2 + 1).alias("n")).first()["n"] or 0
+    phrases = stage(distinct_phrases(items, item_col, text_col, window), "phrases")
+    total = phrases.agg(F.sum(F.length("words") / 8 + F.size("names"))).first()[0] or 0
     blocks = int(total // block_words) + 1
-    named = named.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(blocks)))
+    dealt = phrases.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
     key = index.schema["keys"].dataType.elementType.simpleString()
     schema = f"segment long, place int, key {key}, n_words long, items array<string>, starts array<int>, ends array<int>"
     found = []
     for k in range(blocks):
-        rows = named.filter(F.col("block") == k).collect()
-        sent = spark.sparkContext.broadcast(vars(Phrases([r["name"] for r in rows], [r["text"] for r in rows], window)))
+        rows = dealt.filter(F.col("block") == k).select("words", "names").collect()
+        sent = spark.sparkContext.broadcast(vars(Phrases([bytes(r["words"]) for r in rows], [r["names"] for r in rows])))
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, every=k == 0) -> Iterator[pa.RecordBatch]:
             phrases = SimpleNamespace(**sent.value)
             for batch in batches:
                 for i in range(batch.num_rows):
@@ -184,7 +193,7 @@ def find_phrases(index: DataFrame, items: DataFrame, item_col: str = "item_id",
                         out_items[d] = sorted({phrases.names[x] for _, w in hits for x in phrases.items[w]})
                         spans = [(s - int(offsets[d]), s - int(offsets[d]) + int(phrases.bounds[w + 1] - phrases.bounds[w])) for s, w in hits]
                         out_starts[d], out_ends[d] = merged(spans)
-                    yield pa.RecordBatch.from_arrays(
+                    out = pa.RecordBatch.from_arrays(
                         [
                             pa.array([row["segment"]] * n, pa.int64()),
                             pa.array(range(n), pa.int32()),
@@ -196,6 +205,8 @@ def find_phrases(index: DataFrame, items: DataFrame, item_col: str = "item_id",
                         ],
                         ["segment", "place", "key", "n_words", "items", "starts", "ends"],
                     )
+                    # The first block has a row for every document, later ones for those with hits.
+                    yield out if every else out.take(pa.array(sorted(by_doc), pa.int32()))
 
         found.append(index.mapInArrow(run, schema))
     if len(found) == 1:

@@ -176,6 +176,22 @@ def test_contamination(docs, items, texts, monkeypatch, block):
     assert decontaminate.contamination(docs, items.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_blocks_stay_small(spark):
+    """A long item, one that repeats, and many items of one text make no large block; each name is found."""
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [("long", long), *[("again", "a b c d e f g h i j k l m n")] * 500, *[(f"same{i}", "one two three") for i in range(300)], (None, "one two three"), ("none", None)]
+    items = spark.createDataFrame(rows, "item_id string, text string")
+    phrases = decontaminate.distinct_phrases(items)
+    assert phrases.count() == 30_000 - 12 + 2 + 1
+    docs = spark.createDataFrame([(1, "x " + long), (2, "two three"), (3, "ONE two-three x"), (4, None)], "doc_id long, text string")
+    index = decontaminate.stage(decontaminate.build_index(docs), "postings")
+    for block in (decontaminate.BLOCK_WORDS, 50_000):
+        found = {r["key"]: r for r in decontaminate.find_phrases(index, items, block_words=block).collect()}
+        assert {k: r["n_hit"] for k, r in found.items()} == {1: 30_000, 2: 0, 3: 3, 4: 0}
+        assert (found[1]["starts"], found[1]["ends"]) == ([1], [30_001])
+        assert found[3]["items"] == sorted(["", *[f"same{i}" for i in range(300)]])
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "alpha x beta gamma"), (2, "alpha beta y y y gamma"), (3, "gamma beta alpha z")], "doc_id long, text string")
     items = spark.createDataFrame([("i", "alpha beta gamma")], "item_id string, text string")
