@@ -341,130 +341,6 @@ def shape_columns(cols: list[str] = SENSOR_COLS) -> list[str]:
     return [f"{c}_{stat}" for c in cols for stat in SHAPE_STATS]
 
 
-def _moments(c: str, w: str) -> str:
-    """Count, sum, mean place, central moments and bounds of a channel over a frame, as SQL."""
-    x = f"if(`{c}` is null, null, _x)"
-    figures = {
-        "n": f"count(`{c}`)",
-        "sum": f"sum(cast(`{c}` as double))",
-        "x": f"avg({x})",
-        "yy": f"var_pop(`{c}`)",
-        "xx": f"var_pop({x})",
-        "xy": f"covar_pop(`{c}`, _x)",
-        "low": f"min(`{c}`)",
-        "high": f"max(`{c}`)",
-    }
-    return "struct(" + ", ".join(f"{f} over {w} as {name}" for name, f in figures.items()) + ")"
-
-
-def _total(value: str, w: str) -> str:
-    return f"struct(count({value}) over {w} as n, sum(abs({value})) over {w} as sum)"
-
-
-def _mean_of(a: str, b: str) -> str:
-    """Mean of two parts, each a count and a sum or null."""
-    return f"try_divide(coalesce({a}.sum, 0) + coalesce({b}.sum, 0), coalesce({a}.n, 0) + coalesce({b}.n, 0))"
-
-
-def _merging(c: str, a: str, b: str) -> dict[str, str]:
-    """What merging two parts takes: their counts, the differences of their means, and the weight of these."""
-    na, nb = f"coalesce({a}.n, 0)", f"coalesce({b}.n, 0)"
-    return {
-        f"_na_{c}": na,
-        f"_nb_{c}": nb,
-        f"_dx_{c}": f"coalesce({b}.x - {a}.x, 0D)",
-        f"_dy_{c}": f"coalesce(try_divide({b}.sum, {b}.n) - try_divide({a}.sum, {a}.n), 0D)",
-        f"_w_{c}": f"coalesce(try_divide(cast({na} as double) * {nb}, {na} + {nb}), 0D)",
-    }
-
-
-def _merged(c: str, a: str, b: str) -> dict[str, str]:
-    """Statistics of two parts together; a part may be null or empty."""
-
-    def moment(name: str, shift: str) -> str:
-        return f"(`_na_{c}` * coalesce({a}.{name}, 0D) + `_nb_{c}` * coalesce({b}.{name}, 0D) + `_w_{c}` * {shift})"
-
-    yy, xx = moment("yy", f"`_dy_{c}` * `_dy_{c}`"), moment("xx", f"`_dx_{c}` * `_dx_{c}`")
-    n = f"(`_na_{c}` + `_nb_{c}`)"
-    low, high = f"least({a}.low, {b}.low)", f"greatest({a}.high, {b}.high)"
-    return {
-        f"{c}_mean": _mean_of(a, b),
-        f"{c}_std": f"if({n} > 1, sqrt(try_divide({yy}, {n} - 1)), null)",
-        f"{c}_min": low,
-        f"{c}_max": high,
-        f"{c}_range": f"{high} - {low}",
-        f"{c}_slope": f"try_divide({moment('xy', f'`_dx_{c}` * `_dy_{c}`')}, {xx})",
-    }
-
-
-def _add_shape(frame: DataFrame, series: Series, cols: list[str], seq_len: int) -> DataFrame:
-    """Window statistics from running ones, so that a row costs the same whatever the window's length.
-
-    The series is cut into blocks as long as a window. A window is then the end
-    of one block and the start of the next: the running statistics of the block
-    back to the window's first row, and those up to its last. They are merged,
-    never subtracted, so large values outside a window leave no trace in it.
-    Differences fill one or two rows less than a window and need care where
-    they lie inside one block: ``_place`` is the row's place in its block.
-    Written as SQL, as hundreds of expressions take long to build one by one.
-    """
-    last = seq_len - 1
-    block, place = f"floor((_x - 1) / {seq_len})", f"pmod(_x - 1, {seq_len})"
-    frame = frame.withColumns({"_block": F.expr(block), "_place": F.expr(place)})
-    keys = ", ".join(f"`{k}`" for k in series.keys)
-    running = "rows between unbounded preceding and current row"
-    tail = f"(partition by {keys}, _block order by _x desc {running})"
-    head = f"(partition by {keys}, _block order by _x {running})"
-    # Goes on in the order that the one before sorts by.
-    along = f"(partition by {keys} order by _block, _x)"
-
-    def added(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
-        return rows.selectExpr("*", *[f"{sql} as `{name}`" for name, sql in columns.items()])
-
-    for part, w in (("tail", tail), ("head", head)):
-        columns = {}
-        for c in cols:
-            columns[f"_{part}0_{c}"] = _moments(c, w)
-            columns[f"_{part}1_{c}"] = _total(f"`_d1_{c}`", w)
-            columns[f"_{part}2_{c}"] = _total(f"`_d2_{c}`", w)
-            if part == "head":
-                columns[f"_inner_{c}"] = _total(f"if(_place > 0, `_d2_{c}`, null)", w)
-        frame = added(frame, columns)
-    frame = added(
-        frame,
-        {
-            f"_back{n}_{c}": f"if(_place = {last - n}, null, lag(`_tail{n}_{c}`, {last - n}) over {along})"
-            for c in cols
-            for n in range(3)
-        },
-    )
-    frame = added(
-        frame,
-        {
-            name: sql
-            for c in cols
-            for name, sql in {
-                **_merging(c, f"`_back0_{c}`", f"`_head0_{c}`"),
-                f"_a2_{c}": f"if(_place = {last - 1}, null, `_back2_{c}`)",
-                f"_b1_{c}": f"if(_place < {last}, `_head1_{c}`, null)",
-                f"_b2_{c}": f"case when _place < {last - 1} then `_head2_{c}` when _place = {last - 1} then `_inner_{c}` end",
-            }.items()
-        },
-    )
-    return added(
-        frame,
-        {
-            name: sql
-            for c in cols
-            for name, sql in {
-                **_merged(c, f"`_back0_{c}`", f"`_head0_{c}`"),
-                f"{c}_diff1": _mean_of(f"`_back1_{c}`", f"`_b1_{c}`"),
-                f"{c}_diff2": _mean_of(f"`_a2_{c}`", f"`_b2_{c}`"),
-            }.items()
-        },
-    )
-
-
 def shape_features(
     df: DataFrame,
     seq_len: int = SEQ_LEN,
@@ -493,7 +369,19 @@ def shape_features(
         if split:
             frame = frame.withColumn("_n", series.length())
         frame = frame.withColumns({f"_d2_{c}": F.col(f"_d1_{c}") - series.lag(f"_d1_{c}") for c in cols})
-        frame = _add_shape(frame, series, cols, seq_len)
+        # Sliding frames in the order that the rows have: no sort has to move the statistics.
+        w, w1, w2 = (series.rows(n - seq_len + 1, 0) for n in range(3))
+        stats = {}
+        for c in cols:
+            stats[f"{c}_mean"] = F.avg(c).over(w)
+            stats[f"{c}_std"] = F.stddev(c).over(w)
+            stats[f"{c}_min"] = F.min(c).over(w)
+            stats[f"{c}_max"] = F.max(c).over(w)
+            stats[f"{c}_slope"] = F.regr_slope(c, "_x").over(w)
+            stats[f"{c}_diff1"] = F.avg(F.abs(F.col(f"_d1_{c}"))).over(w1)
+            stats[f"{c}_diff2"] = F.avg(F.abs(F.col(f"_d2_{c}"))).over(w2)
+        frame = frame.withColumns(stats)
+        frame = frame.withColumns({f"{c}_range": F.col(f"{c}_max") - F.col(f"{c}_min") for c in cols})
         frame = frame.withColumn("position", F.col("_pos") - seq_len)
         if split:
             windows = F.col("_n") - F.lit(seq_len - 1)

@@ -1,5 +1,6 @@
 """Windows over series, on plain and on hot vehicles, against plain Python."""
 
+import re
 import statistics
 
 import numpy as np
@@ -135,6 +136,18 @@ def test_shape_features_agree_on_hot_and_plain(mixed):
     assert sorted(map(str, plain)) == sorted(map(str, sliced))
 
 
+@pytest.mark.parametrize("args", [{}, HOT], ids=["plain", "sliced"])
+def test_shape_statistics_are_never_sorted(mixed, args):
+    """A sort that moves eighty statistics a row spills long before one of the readings does."""
+    rows = W.shape_features(mixed[0], **args)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    orders = {order for line in windows for order in re.findall(r"(?<=\], \[)[^\[\]]*(?:ASC|DESC)[^\[\]]*(?=\])", line)}
+    assert len(windows) > 0
+    names = {re.sub("#[0-9]+L?", "", order) for order in orders}
+    assert names == {"event_ts ASC NULLS FIRST, event_id ASC NULLS FIRST"}
+
+
 def test_shape_of_a_ramp(readings):
     df = readings([{"speed_kmh": 2.0 * i, "battery_pct": float(i % 2)} for i in range(32)])
     row = W.shape_features(df, cols=["speed_kmh", "battery_pct"]).orderBy("position").collect()[-1]
