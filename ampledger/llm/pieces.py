@@ -28,6 +28,8 @@ MARK = "▁"
 #: Longer chunks take the heap; shorter ones are merged together, one row of a matrix each.
 LONG_CHUNK = 48
 CACHE_CHUNKS = 600_000
+#: Texts that are encoded at a time; their chunks and ids are Python values for a moment.
+SLICE_ROWS = 250
 
 
 class Pieces:
@@ -293,8 +295,8 @@ def _coded(batches: Iterator[pa.RecordBatch], model_file: str, verify: bool):
     cache = worker_cache(f"chunks {model_file}", WordCache)
     begin, end = pieces.library.bos_id(), pieces.library.eos_id()
     for whole in batches:
-        for at in range(0, whole.num_rows, 1000):
-            batch = whole.slice(at, 1000)
+        for at in range(0, whole.num_rows, SLICE_ROWS):
+            batch = whole.slice(at, SLICE_ROWS)
             flat, offsets = encode_batch(pieces, batch.column(1), cache, verify)
             n = batch.num_rows
             full = np.empty(len(flat) + 2 * n, np.int32)

@@ -33,6 +33,8 @@ CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
 #: A minimizer that more documents have than this is common: its windows are dealt out one by one, by their content.
 COMMON = 1000
+#: Bytes of fragments that are indexed at a time, or those of one minimizer; building takes about 80 times as much memory.
+INDEX_BYTES = 2 << 20
 #: Places of an index that are looked at together where each needs several numbers for a moment.
 PART = 1 << 20
 LAST = np.int64(2**63 - 1)
@@ -228,6 +230,17 @@ def cut_out(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return out
 
 
+def index_parts(keys: np.ndarray, sizes: np.ndarray) -> list[int]:
+    """Bounds of parts of ascending keys: no key in two, and up to ``INDEX_BYTES`` bytes or one key in each."""
+    borders = np.append(np.flatnonzero(np.diff(keys, prepend=-1)), len(keys))
+    upto = np.append(0, np.cumsum(sizes))[borders]
+    bounds, at = [0], 0
+    while at < len(borders) - 1:
+        at = max(int(np.searchsorted(upto, upto[at] + INDEX_BYTES, side="right")) - 1, at + 1)
+        bounds.append(int(borders[at]))
+    return bounds
+
+
 def early_windows(keys: np.ndarray, body: np.ndarray, sizes: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """For each fragment the bits of its windows that a smaller document of the shard has."""
     if not len(sizes):
@@ -245,12 +258,15 @@ def early_windows(keys: np.ndarray, body: np.ndarray, sizes: np.ndarray, docs: n
     # A minimizer with one fragment has no other document's windows; the others are indexed.
     _, key_at, often = np.unique(keys[distinct], return_inverse=True, return_counts=True)
     chosen = np.flatnonzero(often[key_at] > 1)
-    if len(chosen):
-        del key_at, often
-        chosen = chosen[np.argsort(least[chosen], kind="stable")]
-        own = distinct[chosen]
-        index = RunIndex(cut_out(body, starts[own], sizes[own]), sizes[own], least[chosen], length)
-        marks[chosen] = index.early()
+    # Equal windows have one minimizer, so each goes into an index as a whole, with others up to the bound.
+    chosen = chosen[np.lexsort((least[chosen], key_at[chosen]))]
+    bounds = index_parts(key_at[chosen], sizes[distinct[chosen]])
+    del key_at, often
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        part = chosen[low:high]
+        part = part[np.argsort(least[part], kind="stable")]
+        own = distinct[part]
+        marks[part] = RunIndex(cut_out(body, starts[own], sizes[own]), sizes[own], least[part], length).early()
     out = np.empty(len(order), np.uint32)
     out[order] = np.where(docs[order] > least[group], ALL, marks[group])
     return out

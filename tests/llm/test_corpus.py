@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,34 @@ def test_repeat_removal(docs, texts, monkeypatch, common):
         repeats.remove_repeats(docs.withColumn("kept", F.lit(1)), carry=["kept"])
 
 
+def test_indexes_stay_small(monkeypatch):
+    """A shard's fragments are indexed in parts of whole minimizers, with the same marks."""
+    fragments = [(RND.randrange(40), bytes(RND.choices(b"ab", k=52 + RND.randrange(9))), RND.randrange(30)) for _ in range(600)]
+    fragments += [(k, body, RND.randrange(30)) for k, body, _ in RND.sample(fragments, 200)]
+    # Windows belong to one minimizer: each has bytes of its own.
+    texts = [bytes(b + 2 * k for b in body) for k, body, _ in fragments]
+    keys, docs = (np.array([f[i] for f in fragments], kind) for i, kind in ((0, np.uint64), (2, np.int64)))
+    sizes, built, plain = np.array([len(t) for t in texts]), [], repeats.RunIndex
+
+    def spied(body, *args):
+        built.append(len(body))
+        return plain(body, *args)
+
+    monkeypatch.setattr(repeats, "RunIndex", spied)
+    found = [repeats.early_windows(keys, np.frombuffer(b"".join(texts), np.uint8), sizes, docs, 50).tolist()]
+    assert len(built) == 1
+    monkeypatch.setattr(repeats, "INDEX_BYTES", 4000)
+    found.append(repeats.early_windows(keys, np.frombuffer(b"".join(texts), np.uint8), sizes, docs, 50).tolist())
+    assert found[0] == found[1]
+    assert len(built) > 10 and max(built[1:]) <= 4000
+    firsts = {}
+    for text, doc in zip(texts, docs):
+        for at in range(len(text) - 49):
+            firsts[text[at : at + 50]] = min(firsts.get(text[at : at + 50], 99), doc)
+    for text, doc, marks in zip(texts, docs, found[1]):
+        assert [bool(marks >> at & 1) for at in range(len(text) - 49)] == [firsts[text[at : at + 50]] < doc for at in range(len(text) - 49)]
+
+
 @pytest.fixture(scope="module")
 def items(spark, texts):
     by_id = dict(texts)
