@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ampledger.functions.scalars import argmax_class, class_weight, decision, sensor_vector, tile
+from ampledger.operators.bins import BINS, tables_for_trees
 from ampledger.operators.metrics import classification_metrics, run_row
 from ampledger.operators.scaling import Scaler, fit_scaler
 from ampledger.operators.series import chronological_split, make_sequences, shape_columns, shape_features
@@ -38,10 +39,9 @@ SHAPE_CONFIGS = [
 ]
 
 
-#: About so many windows, at most, are learned from (see ``training_table``).
-FIT_ROWS = 500_000
-#: Configurations of a grid that are fitted at a time.
+#: Configurations of a grid that are fitted at a time, and the windows that these hold together at most.
 GRID_WORKERS = 4
+GRID_ROWS = 2_000_000
 FLAGS = {"sequence": "l2_seq_flag", "shape": "l3_shape_flag"}
 _SCALED = "_scaled_"
 _STATE_SCHEMA = "kind string, seq_len int, cols array<string>, means array<double>, stds array<double>"
@@ -121,14 +121,14 @@ def _table(kind: str, scaled: DataFrame, cols: list[str] = SENSOR_COLS, **args)
     raise ValueError(f"unknown layer kind {kind!r}")
 
 
-def training_table(df: DataFrame, kind: str, scaler: Scaler, fit_rows: int = FIT_ROWS, **args) -> DataFrame:
-    """Vectors, labels and class weights of about ``fit_rows`` full windows, or of all of a smaller table.
+def training_table(df: DataFrame, kind: str, scaler: Scaler, fit_rows: int | None = None, **args) -> DataFrame:
+    """Vectors, labels and class weights of every full window.
 
-    Windows are chosen by the hash of their numbers, the same in every run.
+    A caller who asks for ``fit_rows`` gets about so many of a larger table instead: windows are chosen by the
+    hash of their numbers, the same in every run.
     """
     table = _table(kind, scaler.transform(df), **args)
-    n = df.count()
-    if n > fit_rows:
+    if fit_rows is not None and (n := df.count()) > fit_rows:
         table = table.filter(F.pmod(F.xxhash64("features"), F.lit(1 << 40)) < F.lit(int(fit_rows / n * (1 << 40))))
     return table.withColumns({"features": array_to_vector("features"), "weight": class_weight("label")})
 
@@ -161,13 +161,14 @@ def fit_layer(df: DataFrame, kind: str = "sequence", params: dict | None = None,
     configs = SEQUENCE_CONFIGS if kind == "sequence" else SHAPE_CONFIGS
     scaler = fit_scaler(df)
     table = training_table(df, kind, scaler, **args).select("features", "label", "weight")
-    if kind == "shape":
-        # Boosting reads its input in every round; logistic regression keeps blocks of its own.
-        table = table.persist()
-    try:
-        return LayerModel(kind, scaler, _fit(kind, table, params or configs[1]), args.get("seq_len", SEQ_LEN))
-    finally:
-        table.unpersist()
+    params, seq_len = params or configs[1], args.get("seq_len", SEQ_LEN)
+    if kind == "sequence":
+        # Logistic regression keeps blocks of its own.
+        return LayerModel(kind, scaler, _fit(kind, table, params), seq_len)
+    bins = params.get("maxBins", BINS)
+    with tables_for_trees(table, {bins}) as tables:
+        table, max_bins = tables[bins]
+        return LayerModel(kind, scaler, _fit(kind, table, {**params, "maxBins": max_bins}), seq_len)
 
 
 def fit_grid(
@@ -186,7 +187,9 @@ def fit_grid(
     rows, or with ``scale_on="train"`` from the first 80 % of each series.
     ``workers`` configurations are fitted at a time from one cached table, as
     the many short jobs of one fit leave executors idle; with fair scheduling
-    (``spark.scheduler.mode``) each has a pool of its own.
+    (``spark.scheduler.mode``) each has a pool of its own. Each fit caches the
+    windows in a form of its own, so fewer are fitted at a time where together
+    they would hold more than ``GRID_ROWS`` windows.
     """
     if scale_on not in ("all", "train"):
         raise ValueError(f"scale_on must be 'all' or 'train', not {scale_on!r}")
@@ -195,19 +198,24 @@ def fit_grid(
     base = chronological_split(df).filter(F.col("split") == "train") if scale_on == "train" else df
     scaler = fit_scaler(base)
     table = training_table(df, kind, scaler, split="sequences", **args)
-    table = table.select("features", "label", "weight", "split").persist()
+    table = table.select("features", "label", "weight", "split")
 
     def run(idx: int):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"grid-{idx}")
-        model = LayerModel(kind, scaler, _fit(kind, train, configs[idx]), args.get("seq_len", SEQ_LEN))
+        params = configs[idx]
+        ready, train = table, table.filter(F.col("split") == "train")
+        if kind == "shape":
+            ready, max_bins = tables[params.get("maxBins", BINS)]
+            train, params = ready.filter(F.col("split") == "train"), {**params, "maxBins": max_bins}
+        model = LayerModel(kind, scaler, _fit(kind, train, params), args.get("seq_len", SEQ_LEN))
         # One row of four figures per configuration; the cached windows are not needed later.
-        return model, classification_metrics(model.score(val)).first()
+        return model, classification_metrics(model.score(ready.filter(F.col("split") == "val"))).first()
 
-    try:
-        train, val = table.filter(F.col("split") == "train"), table.filter(F.col("split") == "val")
-        # Fill the cache once; fits that start together would each compute what they find missing.
-        table.count()
-        with ThreadPoolExecutor(max(1, min(workers, len(configs)))) as pool:
+    sizes = {params.get("maxBins", BINS) for params in configs} if kind == "shape" else set()
+    # The cache is filled before: fits that start together would each compute what they find missing.
+    with tables_for_trees(table, sizes) as tables:
+        n = next((t for t, _ in tables.values()), table).count()
+        with ThreadPoolExecutor(max(1, min(workers, len(configs), GRID_ROWS // max(n, 1)))) as pool:
             # Threads of the pool take the session's properties, and keep their own pool names to themselves.
             started = [pool.submit(inheritable_thread_target(spark)(run), idx) for idx in range(len(configs))]
             results = [f.result() for f in started]
@@ -217,8 +225,6 @@ def fit_grid(
                 best, highest = model, row[metric]
             runs.append(run_row(spark.createDataFrame([row]), f"{kind}_config_{idx + 1}", configs[idx], config_idx=idx))
         return reduce(DataFrame.unionByName, runs), best
-    finally:
-        table.unpersist()
 
 
 def config_grid(df: DataFrame, kind: str = "sequence", configs: list[dict] | None = None, **args) -> DataFrame:
